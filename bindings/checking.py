@@ -311,13 +311,9 @@ def checked_shipments(spark, folder) -> Checked:
 
 
 SHIPMENTS_SQL = f"""
-WITH raw AS (
-  SELECT row_number() OVER () AS rn, l_suppkey, l_partkey, l_orderkey, l_linenumber FROM lineitem),
-typed AS (SELECT row_number() OVER () AS rn, * FROM ({TYPED_LINES_SQL})),
-joined AS (
-  SELECT typed.*, l_suppkey AS supplier, l_partkey,
-         {hmac_sql("ltrim(l_linenumber || '' || l_orderkey, '0')", "line_id")} AS line_id
-  FROM typed JOIN raw USING (rn)),
+WITH joined AS (
+  SELECT *, l_suppkey AS supplier, {hmac_sql("ltrim(l_linenumber || '' || l_orderkey, '0')", "line_id")} AS line_id
+  FROM ({TYPED_LINES_SQL})),
 hashed AS (
   SELECT *, sha256(quantity_text || '|' || price_text || '|' || ship_date_text || '|' || supplier || '|' || l_partkey)
             AS digest FROM joined),

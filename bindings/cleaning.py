@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from bindings.registry import query, table
 from cartulary.functions.casts import date_in_name
-from cartulary.functions.documents import document_status, padded_document, trimmed_code, valid_municipality_code
+from cartulary.functions.documents import padded_document, trimmed_code, valid_municipality_code, with_documents
 from cartulary.functions.measures import age_group, age_on, band_of_income, ceiling_of_band, zip_area
 from cartulary.functions.pseudonyms import Pseudonyms
 from cartulary.operators.documents import validate_documents
@@ -83,7 +83,8 @@ def with_cents(lineitem: DataFrame) -> DataFrame:
 
 
 RAW_LINES_SQL = """
-SELECT ' ' || l_orderkey || ' ' AS order_key,
+SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey,
+       ' ' || l_orderkey || ' ' AS order_key,
        CAST(l_linenumber AS VARCHAR) AS line_number,
        CASE WHEN l_linenumber = 7 AND l_returnflag = 'R' THEN 'dois'
             ELSE CAST(CAST(l_quantity AS INTEGER) AS VARCHAR) END AS quantity,
@@ -108,8 +109,9 @@ SELECT CASE WHEN regexp_full_match(order_key, '[+-]?[0-9]+') THEN try_cast(order
                      CASE WHEN length(ship_date) = 10 THEN try_strptime(ship_date, '%Y-%m-%d') END,
                      CASE WHEN length(ship_date) = 8 THEN try_strptime(ship_date, '%d%m%Y') END) AS DATE) AS ship_date,
        flag,
-       quantity AS quantity_text, ship_date AS ship_date_text, price AS price_text
-FROM (SELECT trim(order_key) AS order_key, trim(line_number) AS line_number, trim(quantity) AS quantity,
+       quantity AS quantity_text, ship_date AS ship_date_text, price AS price_text,
+       l_orderkey, l_linenumber, l_suppkey, l_partkey
+FROM (SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, trim(order_key) AS order_key, trim(line_number) AS line_number, trim(quantity) AS quantity,
              trim(price) AS price, trim(ship_date) AS ship_date,
              nullif(trim(replace(flag, chr(0), '')), '') AS flag
       FROM ({RAW_LINES_SQL}))
@@ -289,13 +291,13 @@ FROM (SELECT o_orderkey, doc,
 
 @query(f"SELECT o_orderkey, p AS padded, cpf_status, nis_status, code FROM ({DOCUMENTS_SQL})")
 def document_checks(spark, folder):
-    doc = F.col("doc")
-    return raw_documents(table(spark, folder, "orders")).select(
+    texts = raw_documents(table(spark, folder, "orders")).withColumn("other", F.col("doc"))
+    return with_documents(texts, {"doc": "cpf", "other": "nis"}).select(
         "o_orderkey",
-        padded_document(doc).alias("padded"),
-        document_status(doc, "cpf").alias("cpf_status"),
-        document_status(doc, "nis").alias("nis_status"),
-        trimmed_code(doc).alias("code"),
+        padded_document(F.col("doc")).alias("padded"),
+        F.col("_status_doc").alias("cpf_status"),
+        F.col("_status_other").alias("nis_status"),
+        trimmed_code(F.col("doc")).alias("code"),
     )
 
 

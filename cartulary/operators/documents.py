@@ -7,15 +7,15 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartulary.functions.documents import document_status
+from cartulary.functions.documents import with_documents
 
 
 def validate_documents(df: DataFrame, kinds: Mapping[str, str]) -> DataFrame:
     """`document_column, status, n` from one pass; `kinds` maps a column to `cpf` or `nis`."""
-    statuses = df.select(*[document_status(F.col(c), kind).alias(c) for c, kind in kinds.items()])
+    statuses = with_documents(df.select(*kinds), kinds)
     counted = statuses.agg(
         *[
-            F.count_if(F.col(column) == status).alias(f"{column}|{status}")
+            F.count_if(F.col(f"_status_{column}") == status).alias(f"{column}|{status}")
             for column in kinds
             for status in ("valid", "invalid", "missing")
         ]

@@ -16,7 +16,7 @@ def flag_exists(df: DataFrame, reference: DataFrame, key: str, flag: str) -> Dat
     No broadcast hint: Spark broadcasts the distinct keys when their measured size is
     under its threshold, and otherwise joins by shuffle with skewed partitions split.
     """
-    known = reference.select(key).where(F.col(key).isNotNull()).distinct().withColumn(flag, F.lit(True))
+    known = reference.select(key).distinct().withColumn(flag, F.lit(True))
     return df.join(known, key, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
@@ -34,24 +34,24 @@ def flag_repeats(
     aggregate that combines before the shuffle, and only keys that do repeat reach the join,
     so a key that holds a large part of the table never lands whole in one task; null keys
     are spread over many join partitions.
+
+    Keys are compared as one struct: null-safe, and no not-null filter is derived from it
+    that would compute the key expression a second time at the scan.
     """
     rank = [F.lit(0)] if latest is None else [F.col(latest).isNull(), -_as_number(df, latest)]
     order = F.struct(*[c.alias(f"o{i}") for i, c in enumerate([*rank, *map(F.col, identity)])])
-    first, *others = keys
-    repeated = (
-        df.where(F.col(first).isNotNull())
-        .groupBy(*keys)
+    kept = (
+        df.groupBy(*keys)
         .agg(F.count(F.lit(1)).alias("_copies"), F.min(order).alias("_kept"))
         .where("_copies > 1")
-        .select(*[F.col(k).alias(f"_k_{k}") for k in keys], "_kept", F.lit(0).alias("_spread"))
+        .select(F.struct(*keys, F.lit(0).alias("_slot")).alias("_kept_key"), "_kept")
     )
-    spread = F.when(F.col(first).isNull(), F.pmod(F.xxhash64(*identity), F.lit(NULL_SPREAD))).otherwise(0)
-    placed = df.withColumn("_slot", spread.cast("int"))
-    match = (F.col(first) == F.col(f"_k_{first}")) & (F.col("_slot") == F.col("_spread"))
-    for name in others:
-        match &= F.col(name).eqNullSafe(F.col(f"_k_{name}"))
-    repeats = F.col("_kept").isNotNull() & (order != F.col("_kept"))
-    return placed.join(repeated, match, "left").select(*df.columns, repeats.alias(flag))
+    first = F.col(keys[0])
+    slot = F.when(first.isNull(), F.pmod(F.xxhash64(*identity), F.lit(NULL_SPREAD)).cast("int")).otherwise(0)
+    keyed = df.withColumn("_key", F.struct(*keys, slot.alias("_slot")))
+    repeats = first.isNotNull() & F.col("_kept").isNotNull() & (order != F.col("_kept"))
+    joined = keyed.join(kept, F.col("_key") == F.col("_kept_key"), "left")
+    return joined.select(*df.columns, repeats.alias(flag))
 
 
 def _as_number(df: DataFrame, column: str) -> Column:
