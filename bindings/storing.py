@@ -252,7 +252,7 @@ def order_runs(orders: DataFrame) -> DataFrame:
         F.col("o_orderpriority").alias("table_name"),
         F.col("month").alias("reference_date"),
         F.when(F.col("closed") > F.col("open"), "success").otherwise("failed").alias("status"),
-        F.col("month").cast("timestamp").alias("started_at"),
+        F.col("month").cast("timestamp_ntz").alias("started_at"),
         F.col("closed").cast("double").alias("duration_s"),
         F.col("n").alias("rows_in"),
         F.col("closed").alias("rows_out"),

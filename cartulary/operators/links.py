@@ -10,14 +10,26 @@ from pyspark.sql import functions as F
 NULL_SPREAD = 1024
 
 
-def flag_exists(df: DataFrame, reference: DataFrame, key: str, flag: str) -> DataFrame:
-    """`flag` is true where `key` occurs in `reference`; a null key gives false.
+def left_lookup(df: DataFrame, table: DataFrame, key: str) -> DataFrame:
+    """Left join on `key` against a table that holds each key once.
 
-    No broadcast hint: Spark broadcasts the distinct keys when their measured size is
-    under its threshold, and otherwise joins by shuffle with skewed partitions split.
+    Rows without a key match nothing, so they are spread over many partitions instead of
+    meeting in one. A frequent key only widens the left side, whose skewed partitions Spark
+    splits. There is no broadcast hint: Spark broadcasts a side it measures as small.
     """
+    others = [name for name in table.columns if name != key]
+    plain = [name for name, kind in df.dtypes if not kind.startswith(("map", "variant"))]
+    spread = F.pmod(F.xxhash64(*plain), F.lit(NULL_SPREAD)).cast("int")
+    slot = F.when(F.col(key).isNull(), spread + 1).otherwise(0)
+    left = df.withColumn("_key", F.struct(F.col(key).alias("k"), slot.alias("slot")))
+    right = table.select(F.struct(F.col(key).alias("k"), F.lit(0).alias("slot")).alias("_key"), *others)
+    return left.join(right, "_key", "left").drop("_key")
+
+
+def flag_exists(df: DataFrame, reference: DataFrame, key: str, flag: str) -> DataFrame:
+    """`flag` is true where `key` occurs in `reference`; a null key gives false."""
     known = reference.select(key).distinct().withColumn(flag, F.lit(True))
-    return df.join(known, key, "left").withColumn(flag, F.coalesce(flag, F.lit(False)))
+    return left_lookup(df, known, key).withColumn(flag, F.coalesce(flag, F.lit(False)))
 
 
 def flag_repeats(
@@ -30,25 +42,31 @@ def flag_repeats(
     """True for every row of a key but one: the newest by `latest`, then first by `identity`.
 
     `identity` must tell any two rows apart (for example digest, file and row position).
-    Rows whose first key is null are never repeats. The kept row of each key is found by an
-    aggregate that combines before the shuffle, and only keys that do repeat reach the join,
-    so a key that holds a large part of the table never lands whole in one task; null keys
-    are spread over many join partitions.
+    Rows whose first key is null are never repeats.
+
+    Three narrow steps replace a window over whole rows: count the keys, pick the kept row of
+    each key that does repeat, and mark by joining it back. Both aggregates combine before
+    the shuffle, so a key that holds a large part of the table never lands whole in one task,
+    and while few keys repeat the last join is a broadcast and the rows are not shuffled at
+    all. Null keys are spread over many join partitions.
 
     Keys are compared as one struct: null-safe, and no not-null filter is derived from it
     that would compute the key expression a second time at the scan.
     """
     rank = [F.lit(0)] if latest is None else [F.col(latest).isNull(), -_as_number(df, latest)]
     order = F.struct(*[c.alias(f"o{i}") for i, c in enumerate([*rank, *map(F.col, identity)])])
-    kept = (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_copies"), F.min(order).alias("_kept"))
-        .where("_copies > 1")
-        .select(F.struct(*keys, F.lit(0).alias("_slot")).alias("_kept_key"), "_kept")
-    )
     first = F.col(keys[0])
     slot = F.when(first.isNull(), F.pmod(F.xxhash64(*identity), F.lit(NULL_SPREAD)).cast("int")).otherwise(0)
     keyed = df.withColumn("_key", F.struct(*keys, slot.alias("_slot")))
+
+    repeated = (
+        df.groupBy(*keys).count().where("count > 1").select(F.struct(*keys, F.lit(0).alias("_slot")).alias("_key"))
+    )
+    kept = (
+        keyed.join(repeated, "_key", "left_semi")
+        .groupBy(F.col("_key").alias("_kept_key"))
+        .agg(F.min(order).alias("_kept"))
+    )
     repeats = first.isNotNull() & F.col("_kept").isNotNull() & (order != F.col("_kept"))
     joined = keyed.join(kept, F.col("_key") == F.col("_kept_key"), "left")
     return joined.select(*df.columns, repeats.alias(flag))

@@ -20,11 +20,12 @@ from cartulary.plans.monthly import (
     refine_all,
 )
 from cartulary.sources.delimited import LayoutDrift
-from cartulary.sources.layouts import FAMILY
+from cartulary.sources.layouts import FAMILY, MUNICIPALITIES, Feed
 from cartulary.sources.storage import read_partitioned, read_table
 from tests.fixture_files import write_inbox
 
 KEY = "test key with at least 32 characters!!"
+PARTS = Feed(MUNICIPALITIES, "MUNICIPIOS_*.csv")
 
 
 @pytest.fixture(scope="module")
@@ -134,6 +135,27 @@ def test_reprocessed_snapshot_is_due_again(spark, lake):
     assert silver(spark, lake, "cadunico_family").count() == 410
 
 
+def test_files_of_one_date_form_one_snapshot(spark, tmp_path):
+    inbox = tmp_path / "inbox"
+    inbox.mkdir()
+    lake = Lake(str(tmp_path / "lake"))
+    part = lambda name, first: (inbox / f"MUNICIPIOS_01012026_{name}.csv").write_text(
+        "\n".join([";".join(PARTS.layout.names), *(f"{n};M;UF;1;R;1;1" for n in range(first, first + 3))]) + "\n"
+    )
+    part("A", 0)
+    assert ingest(spark, lake, "parts", str(inbox), "r1", feed=PARTS) == 1
+    part("B", 10)
+    assert ingest(spark, lake, "parts", str(inbox), "r2", feed=PARTS) == 2
+    assert ingest(spark, lake, "parts", str(inbox), "r3", feed=PARTS) == 0
+    rows = read_partitioned(spark, lake.path("bronze", "parts"))
+    assert rows.count() == 6 and rows.select("_source_file").distinct().count() == 2
+    # a snapshot that comes back empty leaves no old rows
+    for name in "AB":
+        (inbox / f"MUNICIPIOS_01012026_{name}.csv").write_text(";".join(PARTS.layout.names) + "\n")
+    assert ingest(spark, lake, "parts", str(inbox), "r4", reprocess=True, feed=PARTS) == 2
+    assert read_partitioned(spark, lake.path("bronze", "parts")).count() == 0
+
+
 def test_header_drift_stops_the_load(spark, tmp_path):
     inbox = tmp_path / "inbox"
     inbox.mkdir()
