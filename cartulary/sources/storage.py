@@ -17,6 +17,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructField, StructType
 
 
 def _files(spark: SparkSession, path: str):
@@ -43,10 +44,13 @@ def drop_path(spark: SparkSession, path: str) -> None:
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor can reach: the cluster's checkpoint setting.
 
-    Only where it is unset (tests) a local one is made.
+    Only where it is unset and the session is local (tests) a local one is made.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        master = spark.sparkContext.master
+        if not re.fullmatch(r"local(\[[^-]*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all executors of {master} share")
         folder = tempfile.mkdtemp(prefix="cartulary-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -71,11 +75,8 @@ def stage(df: DataFrame, label: str, *partitions: str) -> tuple[DataFrame, str]:
     return df.sparkSession.read.schema(_nullable(df)).parquet(path), path
 
 
-def _nullable(df: DataFrame):
-    schema = df.schema
-    for field in schema.fields:
-        field.nullable = True
-    return schema
+def _nullable(df: DataFrame) -> StructType:
+    return StructType([StructField(f.name, f.dataType, True, f.metadata) for f in df.schema.fields])
 
 
 # -- versioned tables ---------------------------------------------------------------------
