@@ -1,13 +1,14 @@
 """Toxicity by weak supervision.
 
-1. From a bounded sample of labelled rows (`LABELLED` at most, by a hash of doc_id) the words and
-   word beginnings that tell toxic from other documents are counted by Spark. The best become
-   voters: lexicons of words and patterns of beginnings, in groups of equal precision, and shape
-   patterns. A voter says toxic, or abstains; all of them together say clean where none fires.
+1. From a bounded sample of labelled rows (`LABELLED` at most, by a hash of doc_id; equal texts
+   once) the words and word beginnings that tell toxic from other documents are counted by Spark
+   in one half and confirmed in the other. They become voters: lexicons of words and patterns of
+   beginnings, in groups of like precision. A voter says toxic, or abstains.
 2. A generative model (a latent label, a rate of firing of each voter under either label) is
-   fitted by expectation maximisation to the votes alone. Correlations of voters beyond the
-   label are estimated from the fitted residuals, and a voter's evidence is divided by one plus
-   its positive correlations, so that voters that fire together count once.
+   fitted by expectation maximisation; the given label is one more voter, of odds `TRUST`, which
+   anchors the latent one. Correlations of voters beyond the label are estimated from the fitted
+   residuals, and a voter's evidence is divided by one plus its positive correlations, so that
+   voters that fire together count once.
 3. A linear classifier over word and beginning features is trained on the posterior labels, with
    its weight decay. Scoring is one pass over whole texts, with no shuffle.
 
@@ -24,11 +25,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cartulary.llm.common import add_columns, words
+from cartulary.sources.storage import drop_path, stage
 
 #: Bounds: labelled rows that the model is fitted to, and features and voters chosen from them.
 LABELLED, FEATURES, VOTERS = 20_000, 3_000, 60
 BEGINNINGS = range(3, 9)
-PRIOR = 0.1
+PRIOR, TRUST = 0.1, 20.0
 
 
 def features(text: str | None) -> set[str]:
@@ -65,11 +67,11 @@ def voters(chosen: list[str], precision: np.ndarray) -> list[list[int]]:
     return out
 
 
-def label_model(votes: np.ndarray, prior: float) -> np.ndarray:
-    """Posterior of the toxic label from the voters' matrix (rows x voters, 0 or 1)."""
+def label_model(votes: np.ndarray, given: np.ndarray) -> np.ndarray:
+    """Posterior of the toxic label from the voters' matrix (rows x voters, 0 or 1) and the given labels (nan: none)."""
     n = votes.shape[1]
-    fires = votes.any(1)
-    posterior = np.where(fires, 0.9, 0.05)
+    anchor = np.nan_to_num((2 * given - 1) * np.log(TRUST))
+    posterior = np.where(np.isnan(given), np.where(votes.any(1), 0.9, 0.05), np.where(given == 1, 0.95, 0.05))
     discount = np.ones(n)
     for turn in range(30):
         weight = posterior.sum()
@@ -82,11 +84,11 @@ def label_model(votes: np.ndarray, prior: float) -> np.ndarray:
             related = (spread.T @ spread) / np.outer(scale, scale)
             discount = 1 + np.clip(related - np.diag(np.diag(related)), 0, 1).sum(1)
         evidence = votes * (np.log(on / off) / discount) + (1 - votes) * (np.log((1 - on) / (1 - off)) / discount)
-        posterior = 1 / (1 + np.exp(-np.clip(np.log(prior / (1 - prior)) + evidence.sum(1), -30, 30)))
+        posterior = 1 / (1 + np.exp(-np.clip(np.log(prior / (1 - prior)) + anchor + evidence.sum(1), -30, 30)))
     return posterior
 
 
-def linear(rows: list[np.ndarray], target: np.ndarray, size: int, rounds: int = 300, decay: float = 1e-4) -> tuple[np.ndarray, float]:
+def linear(rows: list[np.ndarray], target: np.ndarray, size: int, rounds: int = 800, decay: float = 1e-5) -> tuple[np.ndarray, float]:
     """Logistic regression on soft labels over sets of features, by adaptive gradients."""
     index = np.concatenate([*rows, np.empty(0, np.int64)]).astype(np.int64)
     owner = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
@@ -106,19 +108,23 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model:
     """The model, from rows of `labels` (doc_id, toxic) that are given; hold rows out before the call."""
     known = labels.where("toxic is not null and doc_id is not null").select(F.col("doc_id").alias("_id"), F.col("toxic").cast("int").alias("toxic"))
     chosen = known.orderBy(F.xxhash64(F.col("_id").cast("string")), "_id", "toxic").limit(labelled)
-    own = docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("text")).join(chosen, "_id").select("toxic", "text")
+    own = docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("text")).join(chosen, "_id").select("toxic", "text").dropDuplicates()
+    own, at = stage(own.withColumn("half", F.pmod(F.xxhash64("text"), F.lit(2))), "labelled")
 
     def listed(batch: pa.RecordBatch) -> list:
         return [pa.array([sorted(features(t)) for t in batch.column("text").to_pylist()], pa.list_(pa.string()))]
 
-    found = add_columns(own, listed, "found array<string>").drop("text")
-    counts = found.select("toxic", F.explode("found").alias("feature")).groupBy("feature").agg(F.sum("toxic").alias("bad"), F.count("*").alias("n"))
-    totals = found.agg(F.sum("toxic").alias("bad"), F.count("*").alias("n")).first()
-    if not totals.n or not 0 < totals.bad < totals.n:
+    totals = {r.half: r for r in own.groupBy("half").agg(F.sum("toxic").alias("bad"), F.count("*").alias("n")).collect()}
+    if len(totals) < 2 or not all(0 < t.bad < t.n for t in totals.values()):
         return Model({}, float(np.log(PRIOR / (1 - PRIOR))))
-    base = totals.bad / totals.n
-    lift = (F.col("bad") - F.lit(base) * F.col("n")) / F.sqrt(F.col("n") * F.lit(base * (1 - base)))
-    best = counts.where("n >= 5").withColumn("lift", lift).orderBy(F.desc(F.abs("lift")), "feature").limit(FEATURES).collect()
+    found = add_columns(own, listed, "found array<string>").select("toxic", "half", F.explode("found").alias("feature"))
+    sums = [F.sum(F.when(F.col("half") == h, x)).alias(f"{name}{h}") for h in (0, 1) for name, x in (("bad", F.col("toxic")), ("n", F.lit(1)))]
+    counts = found.groupBy("feature").agg(*sums).where("n0 >= 3 and n1 >= 1")
+    for h, t in totals.items():
+        base = t.bad / t.n
+        counts = counts.withColumn(f"lift{h}", (F.col(f"bad{h}") - F.lit(base) * F.col(f"n{h}")) / F.sqrt(F.col(f"n{h}") * F.lit(base * (1 - base))))
+    agreed = (F.abs("lift0") >= 3) & (F.col("lift0") * F.col("lift1") > 0) & (F.abs("lift1") >= 2)
+    best = counts.where(agreed).orderBy(F.desc(F.abs(F.col("lift0") + F.col("lift1"))), "feature").limit(FEATURES).collect()
     names = [r.feature for r in best]
     place = {x: i for i, x in enumerate(names)}
     shared = docs.sparkSession.sparkContext.broadcast(place)
@@ -126,16 +132,16 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model:
     def numbered(batch: pa.RecordBatch) -> list:
         return [pa.array([sorted(shared.value[x] for x in features(t) if x in shared.value) for t in batch.column("text").to_pylist()], pa.list_(pa.int32()))]
 
-    sample = add_columns(own, numbered, "at array<int>").select("at").toLocalIterator()
-    rows = sorted((np.array(r[0], np.int64) for r in sample), key=lambda x: x.tolist())
-    precision = np.array([(r.bad + base) / (r.n + 1) for r in best])
-    groups = [g for g in voters(names, precision) if g]
+    sample = sorted((list(r[1]), r[0]) for r in add_columns(own, numbered, "at array<int>").select("toxic", "at").toLocalIterator())
+    drop_path(docs.sparkSession, at)
+    rows, given = [np.array(x, np.int64) for x, _ in sample], np.array([y for _, y in sample], float)
+    precision = np.array([(r.bad0 + r.bad1 + PRIOR) / (r.n0 + r.n1 + 1) for r in best])
+    groups = voters(names, precision)
     member = np.zeros((len(groups), len(names)), bool)
     for k, group in enumerate(groups):
         member[k, group] = True
     votes = np.array([member[:, r].any(1) for r in rows], float).reshape(len(rows), len(groups))
-    posterior = label_model(votes, base) if groups else np.full(len(rows), base)
-    weights, intercept = linear(rows, posterior, len(names))
+    weights, intercept = linear(rows, label_model(votes, given), len(names))
     return Model({x: float(w) for x, w in zip(names, weights) if abs(w) > 1e-3}, intercept)
 
 

@@ -70,7 +70,8 @@ def test_label_model_finds_accurate_voters():
     truth = rng.random(4000) < 0.2
     good = [(truth & (rng.random(4000) < 0.6)) | (rng.random(4000) < 0.01) for _ in range(4)]
     copied = good[0]
-    posterior = toxicity.label_model(np.array([*good, copied, copied], float).T, 0.2)
+    given = np.where(rng.random(4000) < 0.3, truth ^ (rng.random(4000) < 0.05), np.nan)
+    posterior = toxicity.label_model(np.array([*good, copied, copied], float).T, given)
     assert ((posterior > 0.5) == truth).mean() > 0.95
 
 
