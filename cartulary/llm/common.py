@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -87,30 +87,46 @@ def add_columns(df: DataFrame, function: Callable[[pa.RecordBatch], list], field
     return kept.mapInArrow(run, StructType(kept.schema.fields + added.fields))
 
 
+def shipped(spark: SparkSession, thing: object) -> Callable[[], object]:
+    """Broadcasts an object's fields; the function returned makes the object again on an executor."""
+    kind, fields = type(thing), spark.sparkContext.broadcast(vars(thing))
+
+    def get() -> object:
+        again = object.__new__(kind)
+        vars(again).update(fields.value)
+        return again
+
+    return get
+
+
 def classes(buckets: DataFrame, verified: Callable[[DataFrame], DataFrame], likely: Column | None = None) -> DataFrame:
     """(node, component) of nodes that are linked over shared buckets.
 
     buckets: bucket, node and columns that `likely` compares (as x.* and y.*); verified: pairs
     (a, b) -> the links among them. Pairs are not formed within a bucket. First each node meets
-    its bucket's smallest node. Then a bucket whose nodes fall into several components lets the
-    nodes outside its first component meet the nodes of other components: every link between
-    components has such a node, so none is lost, and copies that are already together meet no more.
+    the head of its bucket: the member whose buckets are fullest, which in a group of copies is
+    near their common origin. Then a bucket whose nodes fall into several components lets the
+    nodes outside its head's component meet the nodes of other components: every link between
+    components has such a node, so none is lost, and copies that are together meet no more.
     """
-    first = buckets.groupBy("bucket").agg(F.min("node").alias("leader"), F.count("*").alias("n")).where("n > 1").drop("n")
-    leaders, at_leaders = stage(first, "leaders")
-    pairs = buckets.select("bucket", "node").join(leaders, "bucket").where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
-    edges, _ = stage(verified(pairs), "links")
+    spark = buckets.sparkSession
+    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    shared, at_shared = stage(buckets.join(sizes, "bucket"), "shared")
+    fullness = shared.groupBy("node").agg(F.sum("n").alias("full"))
+    ranked = shared.select("bucket", "node").join(fullness, "node")
+    heads = ranked.groupBy("bucket").agg(F.min(F.struct((-F.col("full")).alias("rank"), "node")).alias("head")).select("bucket", F.col("head.node").alias("head"))
+    heads, at_heads = stage(heads, "heads")
+    pairs = shared.select("bucket", "node").join(heads, "bucket").where("node <> head")
+    edges, _ = stage(verified(pairs.select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")).distinct()), "links")
     found = connected(edges, "a", "b")
-    members = buckets.join(leaders, "bucket").join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    named = heads.join(found, F.col("head") == F.col("node"), "left").select("bucket", F.coalesce("component", "head").alias("first"))
+    members = shared.drop("n").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).join(named, "bucket")
     members, at_members = stage(members, "members")
-    heads = members.where("node = leader").select("bucket", F.col("component").alias("head"))
-    rest = members.join(heads.dropDuplicates(["bucket"]), "bucket").where("component <> head").drop("head")
     meets = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component"))
-    more = rest.alias("x").join(members.alias("y"), meets if likely is None else meets & likely)
+    more = members.where("component <> first").alias("x").join(members.alias("y"), meets if likely is None else meets & likely)
     more = more.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     others, _ = stage(verified(more), "links")
-    spark = buckets.sparkSession
-    for path in (at_leaders, at_members):
+    for path in (at_shared, at_heads, at_members):
         drop_path(spark, path)
     return connected(edges.union(others), "a", "b") if others.limit(1).count() else found
 

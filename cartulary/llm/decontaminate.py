@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartulary.llm.common import WORD, add_columns, lower_ascii, row_key, words
+from cartulary.llm.common import WORD, add_columns, lower_ascii, row_key, shipped, words
 from cartulary.sources.storage import stage
 
 SPAN = 13
@@ -89,13 +89,14 @@ def _blocks(benchmark: DataFrame, span: int, block: int) -> Iterator[list]:
 
 
 def _scanned(docs: DataFrame, items: list, span: int) -> DataFrame:
-    shared = docs.sparkSession.sparkContext.broadcast(Windows(items, span))
+    shared = shipped(docs.sparkSession, Windows(items, span))
 
     def scan(batch: pa.RecordBatch) -> list:
+        windows = shared()
         counts, hits, items = [], [], []
         for text in batch.column("text").to_pylist():
             own = words(text)
-            at, found = shared.value.hits(own)
+            at, found = windows.hits(own)
             counts.append(len(own))
             hits.append(at)
             items.append(found)

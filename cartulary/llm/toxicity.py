@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartulary.llm.common import add_columns, words
+from cartulary.llm.common import add_columns, shipped, words
 from cartulary.sources.storage import drop_path, stage
 
 #: Bounds: labelled rows that the model is fitted to, and features and voters chosen from them.
@@ -147,10 +147,11 @@ def fit(docs: DataFrame, labels: DataFrame, labelled: int = LABELLED) -> Model:
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """`docs` with score and predicted."""
-    shared = docs.sparkSession.sparkContext.broadcast(model)
+    shared = shipped(docs.sparkSession, model)
 
     def run(batch: pa.RecordBatch) -> list:
-        found = np.array([shared.value.score(t) for t in batch.column("text").to_pylist()], float)
+        score_of = shared().score
+        found = np.array([score_of(t) for t in batch.column("text").to_pylist()], float)
         return [pa.array(found), pa.array((found >= 0.5).astype(np.int32))]
 
     return add_columns(docs, run, "score double, predicted int")
