@@ -249,21 +249,21 @@ def review_flags(spark, folder):
 
 def units_and_deficit(spark, folder) -> tuple[DataFrame, DataFrame]:
     """Customers as contracted units, orders per nation and year as the official deficit."""
-    customers = table(spark, folder, "customer").where("c_mktsegment <> 'BUILDING'")
+    customers = table(spark, folder, "customer")
     units = customers.select(F.col("c_nationkey").alias("municipality_code"))
-    owners = table(spark, folder, "customer").where("c_acctbal < 9000").select("c_custkey", "c_nationkey")
+    owners = table(spark, folder, "customer").select("c_custkey", "c_nationkey")
     orders = table(spark, folder, "orders").join(owners, F.col("o_custkey") == F.col("c_custkey"))
     deficit = orders.groupBy(
         F.col("c_nationkey").alias("municipality_code"), F.year("o_orderdate").alias("year")
     ).agg(F.count(F.lit(1)).alias("deficit_total"))
-    return units, deficit.where("municipality_code <> 3")
+    return units, deficit
 
 
 GAP_SQL = f"""
 WITH deficit AS (SELECT c_nationkey AS code, year(o_orderdate) AS yr, count(*) AS total
                  FROM orders JOIN customer ON c_custkey = o_custkey
-                 WHERE c_acctbal < 9000 AND c_nationkey <> 3 GROUP BY ALL),
-units AS (SELECT c_nationkey AS code, count(*) AS n FROM customer WHERE c_mktsegment <> 'BUILDING' GROUP BY ALL),
+                 GROUP BY ALL),
+units AS (SELECT c_nationkey AS code, count(*) AS n FROM customer GROUP BY ALL),
 joined AS (
   SELECT a.*, coalesce(p.n_families, 0) AS n_families, coalesce(p.n_families_deficit, 0) AS n_families_deficit,
          coalesce(u.n, 0) AS n_units_contracted, d.total AS fjp_deficit, d.yr AS fjp_year
@@ -368,7 +368,7 @@ def leaks(spark, folder):
 
 def side_tables(spark, folder) -> tuple[DataFrame, DataFrame]:
     """Stand-ins with the columns of forecast and allocation, from customers per nation."""
-    grouped = table(spark, folder, "customer").where("c_nationkey <> 5").groupBy(
+    grouped = table(spark, folder, "customer").groupBy(
         F.col("c_nationkey").alias("municipality_code")
     ).agg(F.count(F.lit(1)).alias("n"))
     predictions = grouped.select(
@@ -376,7 +376,7 @@ def side_tables(spark, folder) -> tuple[DataFrame, DataFrame]:
         (F.col("n") / 1000).alias("relative_deficit_forecast"),
         (F.col("n") * 2.0).alias("deficit_forecast_units"),
     )
-    allocated = grouped.where("municipality_code <> 7").select(
+    allocated = grouped.select(
         "municipality_code", F.col("n").alias("allocated_units"), (F.col("n") * 150000.0).alias("investment")
     )
     return predictions, allocated
@@ -418,14 +418,14 @@ def _shown(name: str) -> str:
 
 PROFILES_SQL = f"""
 WITH p AS ({INDICATORS_SQL}), g AS ({GAP_SQL}),
-c AS (SELECT c_nationkey AS code, count(*) AS n FROM customer WHERE c_nationkey <> 5 GROUP BY ALL)
+c AS (SELECT c_nationkey AS code, count(*) AS n FROM customer GROUP BY ALL)
 SELECT p.municipality_code AS id, p.municipality_name AS name, p.state, p.region,
        strftime(p.reference_date, '%Y-%m-%d') AS reference_date,
        {', '.join(f'{_shown(f)} AS {f}' for f in SHOWN)},
        p.precariousness_index, g.n_units_contracted AS units_contracted, g.fjp_deficit, g.coverage_fjp AS fjp_coverage,
        c.n / 1000 AS relative_deficit, c.n * 2.0::DOUBLE AS deficit_units,
-       CASE WHEN p.municipality_code <> 7 THEN c.n END AS units,
-       CASE WHEN p.municipality_code <> 7 THEN c.n * 150000.0::DOUBLE END AS investment,
+       c.n AS units,
+       c.n * 150000.0::DOUBLE AS investment,
        concat_ws(',', {_suppressed_list}) AS suppressed
 FROM p LEFT JOIN g ON g.municipality_code = p.municipality_code LEFT JOIN c ON c.code = p.municipality_code
 """

@@ -46,6 +46,20 @@ def with_rank(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
     return counted.drop("_one")
 
 
+def lower_medians(df: DataFrame, group: str, column: str, name: str) -> DataFrame:
+    """`group, name`: the exact lower middle of the non-null values of each group.
+
+    Works on the distinct values of a group and their counts, which no single task gathers.
+    """
+    histogram = df.where(F.col(column).isNotNull()).groupBy(group, column).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = with_running_total(histogram, "_n", [F.col(column).asc()], "_upto", group=[group])
+    sizes = df.groupBy(F.col(group).alias("_group")).agg(F.count(column).alias("_of"))
+    middle = F.floor((F.col("_of") + 1) / 2)
+    placed = ranked.join(sizes, F.col(group).eqNullSafe(F.col("_group")))
+    holds = (F.col("_upto") >= middle) & (F.col("_upto") - F.col("_n") < middle)
+    return placed.where(holds).select(group, F.col(column).alias(name))
+
+
 def exact_median(df: DataFrame, column: str) -> DataFrame:
     """One row with the exact `median`; null when the column has no value.
 

@@ -39,9 +39,9 @@ def unit_cost(region: Column, costs: Mapping[str, float]) -> Column:
 
 def require_costs(areas: DataFrame, costs: Mapping[str, float]) -> None:
     without = areas.where(unit_cost(F.col("region"), costs).isNull()).select("region").distinct()
-    missing = sorted(str(row.region) for row in without.limit(20).collect())
-    if missing:
-        raise MissingCost(f"no unit cost for {', '.join(missing)}")
+    missing = without.agg(F.count(F.lit(1)).alias("n"), F.min(F.coalesce("region", F.lit("None"))).alias("first")).first()
+    if missing.n:
+        raise MissingCost(f"no unit cost for {missing.first}" + f" and {missing.n - 1} more" * (missing.n > 1))
 
 
 def region_floors(sized: DataFrame, budget: float, min_share: float) -> DataFrame:

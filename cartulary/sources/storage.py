@@ -61,11 +61,8 @@ def scratch_folder(spark: SparkSession, label: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint, so that later branches read the same rows."""
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint()
+    """Cut the lineage by writing the rows once to the shared folder, so that later branches read the same ones."""
+    return stage(df, "settled")[0]
 
 
 def stage(df: DataFrame, label: str, *partitions: str) -> tuple[DataFrame, str]:
