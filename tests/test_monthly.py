@@ -192,3 +192,16 @@ def test_retention(spark, lake):
     assert {r[0] for r in left.select("_reference_date").distinct().collect()} == {datetime.date(2026, 9, 11)}
     logged = read_runs(spark, lake).where("run_id = 'run-9' AND table_name = 'cadunico_family'").first()
     assert logged.rows_out == 402 and json.loads(logged.details)["cutoff"] == "2026-09-01"
+
+
+def test_a_later_part_joins_one_that_has_left(spark, tmp_path):
+    inbox, lake = tmp_path / "inbox", Lake(str(tmp_path / "lake"))
+    inbox.mkdir()
+    feed = Feed(MUNICIPALITIES, "PART*.csv", dated=True)
+    header = feed.separator.join(feed.layout.names)
+    for part in "12":
+        (inbox / f"PART{part}_01012026.csv").write_text(f"{header}\n" + feed.separator.join([part] * len(feed.layout.names)) + "\n")
+        assert ingest(spark, lake, "parts", str(inbox), f"run-{part}", feed=feed) == 1
+        (inbox / f"PART{part}_01012026.csv").unlink()
+    rows = read_partitioned(spark, lake.path("bronze", "parts"))
+    assert sorted(r._source_file for r in rows.collect()) == ["PART1_01012026.csv", "PART2_01012026.csv"]
