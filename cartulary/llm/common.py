@@ -99,34 +99,43 @@ def shipped(spark: SparkSession, thing: object) -> Callable[[], object]:
     return get
 
 
-def classes(buckets: DataFrame, verified: Callable[[DataFrame], DataFrame], likely: Column | None = None) -> DataFrame:
-    """(node, component) of nodes that are linked over shared buckets.
+def headed(buckets: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Rows of `buckets` with more than one node, (bucket, head), and the paths that hold both.
 
-    buckets: bucket, node and columns that `likely` compares (as x.* and y.*); verified: pairs
-    (a, b) -> the links among them. Pairs are not formed within a bucket. First each node meets
-    the head of its bucket: the member whose buckets are fullest, which in a group of copies is
-    near their common origin. Then a bucket whose nodes fall into several components lets the
-    nodes outside its head's component meet the nodes of other components: every link between
-    components has such a node, so none is lost, and copies that are together meet no more.
+    The head is the member whose buckets are fullest, which in a group of copies is near their
+    common origin. Heads follow one order, so of two nodes only one ever heads the other.
     """
-    spark = buckets.sparkSession
     sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
     shared, at_shared = stage(buckets.join(sizes, "bucket"), "shared")
     fullness = shared.groupBy("node").agg(F.sum("n").alias("full"))
     ranked = shared.select("bucket", "node").join(fullness, "node")
     heads = ranked.groupBy("bucket").agg(F.min(F.struct((-F.col("full")).alias("rank"), "node")).alias("head")).select("bucket", F.col("head.node").alias("head"))
     heads, at_heads = stage(heads, "heads")
+    return shared.drop("n"), heads, [at_shared, at_heads]
+
+
+def classes(buckets: DataFrame, verified: Callable[[DataFrame], DataFrame], likely: Column | None = None) -> DataFrame:
+    """(node, component) of nodes that are linked over shared buckets.
+
+    buckets: bucket, node and columns that `likely` compares (as x.* and y.*); verified: pairs
+    (a, b) -> the links among them. Pairs are not formed within a bucket. First each node meets
+    the head of its bucket (see `headed`). Then a bucket whose nodes fall into several components
+    lets the nodes outside its head's component meet the nodes of other components: every link between
+    components has such a node, so none is lost, and copies that are together meet no more.
+    """
+    spark = buckets.sparkSession
+    shared, heads, at = headed(buckets)
     pairs = shared.select("bucket", "node").join(heads, "bucket").where("node <> head")
     edges, _ = stage(verified(pairs.select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")).distinct()), "links")
     found = connected(edges, "a", "b")
     named = heads.join(found, F.col("head") == F.col("node"), "left").select("bucket", F.coalesce("component", "head").alias("first"))
-    members = shared.drop("n").join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).join(named, "bucket")
+    members = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).join(named, "bucket")
     members, at_members = stage(members, "members")
     meets = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component"))
     more = members.where("component <> first").alias("x").join(members.alias("y"), meets if likely is None else meets & likely)
     more = more.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     others, _ = stage(verified(more), "links")
-    for path in (at_shared, at_heads, at_members):
+    for path in (*at, at_members):
         drop_path(spark, path)
     return connected(edges.union(others), "a", "b") if others.limit(1).count() else found
 

@@ -100,6 +100,32 @@ def test_near_duplicates_equal_all_pairs(spark, folder):
     assert sorted(r.doc_id for r in kept) == sorted(set(got.values()))
 
 
+def test_bound_never_rules_out_a_pair(spark):
+    """What two texts share is at most what their differences from a head allow."""
+    rng = np.random.default_rng(9)
+    head = np.sort(rng.choice(1 << 40, 200, False).astype(np.uint64)), rng.integers(1, 3, 200).astype(float)
+    sums, rows = head[1].sum(), []
+    spare = rng.choice(1 << 40, 60, False).astype(np.uint64)
+    own = []
+    for n in range(40):
+        keep = rng.random(200) > rng.random() * 0.3
+        extra = np.setdiff1d(rng.choice(spare, rng.integers(0, 50), False), head[0])
+        h = np.concatenate([head[0][keep], extra])
+        w = np.concatenate([head[1][keep] + rng.integers(0, 2, keep.sum()) * (rng.random() < 0.2), np.full(len(extra), 2.0)])
+        order = np.argsort(h)
+        own.append((h[order], w[order]))
+        both, largest, items, sketch = minhash.difference(head, own[-1])
+        over = items - int(np.bitwise_count(sketch.view(np.uint64)).sum())
+        rows.append((n, float(sums), float(own[-1][1].sum()), both, largest, over, sketch.tolist()))
+    df = spark.createDataFrame(rows, "n int, head_weight double, weight double, both double, largest double, spare int, sketch array<long>")
+    pairs = df.alias("x").join(df.alias("y"), F.col("x.n") < F.col("y.n"))
+    for least in (0.5, 0.7, 0.8, 0.9):
+        kept = {tuple(r) for r in pairs.where(minhash._may_share(least)).select("x.n", "y.n").collect()}
+        linked = {(a, b) for a, b in combinations(range(40), 2) if minhash.similarity(own[a], own[b]) >= least}
+        assert linked <= kept
+        assert least < 0.9 or len(kept) < 40 * 39 / 4
+
+
 def test_minhash_edges(edge_docs, no_docs):
     got = sorted((str(r.doc_id), str(r.class_id), r.n_in_class) for r in minhash.near_duplicates(edge_docs).collect())
     assert [x for x in got if x[0] in "67"] == [("6", "6", 3)] * 2 + [("7", "6", 3)]
