@@ -126,6 +126,32 @@ def test_bound_never_rules_out_a_pair(spark):
         assert least < 0.9 or len(kept) < 40 * 39 / 4
 
 
+def test_narrowed_lines_keep_the_decision():
+    """Narrowing keeps the edit distance, and `sure` only where it is allowed."""
+
+    def edits(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            last, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                last, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, last + (x != y))
+        return row[-1]
+
+    rng, sure = random.Random(4), 0
+    for _ in range(150):
+        a = prose(rng, rng.randint(1, 12)).split()
+        b = [w for w in a if rng.random() > 0.1]
+        for _ in range(rng.randint(0, 3)):
+            b.insert(rng.randint(0, len(b)), rng.choice(["x", "aa", "jjjj"]))
+        a, b = " ".join(a), " ".join(b)
+        allowed = max(len(a), len(b)) // 5
+        x, y, within = lines.narrowed(a, b, allowed)
+        assert edits(x, y) == edits(a, b) and (not within or edits(a, b) <= allowed)
+        sure += within
+    assert sure > 30
+    assert lines.narrowed("", "", 0) == ("", "", True) and lines.narrowed("a b", "a b", 0)[2]
+
+
 def test_minhash_edges(edge_docs, no_docs):
     got = sorted((str(r.doc_id), str(r.class_id), r.n_in_class) for r in minhash.near_duplicates(edge_docs).collect())
     assert [x for x in got if x[0] in "67"] == [("6", "6", 3)] * 2 + [("7", "6", 3)]
