@@ -30,7 +30,7 @@ _POWERS = [np.ones(1, np.uint64)]
 _INVERSE = [np.ones(1, np.uint64)]
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS[0]) < n:
         size = max(n, 2 * len(_POWERS[0]), 1 << 16)
         for table, base in ((_POWERS, _PRIME), (_INVERSE, pow(_PRIME, -1, 1 << 64))):
@@ -63,7 +63,7 @@ def word_hashes(text: str, digits_as_zero: bool = False) -> tuple[np.ndarray, np
     value = points + 32 * upper.astype(np.uint32)
     if digits_as_zero:
         value = np.where(digit, np.uint32(48), value)
-    up, down = _powers(len(points) + 1)
+    up, down = powers(len(points) + 1)
     sums = np.zeros(len(points) + 1, np.uint64)
     np.cumsum((value.astype(np.uint64) + np.uint64(1)) * up[:-1], out=sums[1:])
     return mixed((sums[ends] - sums[starts]) * down[starts]), starts, points
@@ -99,43 +99,64 @@ def shipped(spark: SparkSession, thing: object) -> Callable[[], object]:
     return get
 
 
-def headed(buckets: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
-    """Rows of `buckets` with more than one node, (bucket, head), and the paths that hold both.
+def shared_buckets(buckets: DataFrame) -> tuple[DataFrame, str]:
+    """Rows of `buckets` with more than one node, and the path that holds them."""
+    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
+    return stage(buckets.join(sizes, "bucket").drop("n"), "shared")
+
+
+def heads_of(shared: DataFrame, *carried: str) -> tuple[DataFrame, str]:
+    """(bucket, head and its `carried` columns), and the path that holds them.
 
     The head is the member whose buckets are fullest, which in a group of copies is near their
     common origin. Heads follow one order, so of two nodes only one ever heads the other.
     """
-    sizes = buckets.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    shared, at_shared = stage(buckets.join(sizes, "bucket"), "shared")
-    fullness = shared.groupBy("node").agg(F.sum("n").alias("full"))
-    ranked = shared.select("bucket", "node").join(fullness, "node")
-    heads = ranked.groupBy("bucket").agg(F.min(F.struct((-F.col("full")).alias("rank"), "node")).alias("head")).select("bucket", F.col("head.node").alias("head"))
-    heads, at_heads = stage(heads, "heads")
-    return shared.drop("n"), heads, [at_shared, at_heads]
+    sizes = shared.groupBy("bucket").agg(F.count("*").alias("n"))
+    fullness = shared.join(sizes, "bucket").groupBy("node").agg(F.sum("n").alias("full"))
+    ranked = shared.select("bucket", "node", *carried).join(fullness, "node")
+    heads = ranked.groupBy("bucket").agg(F.min(F.struct((-F.col("full")).alias("rank"), "node", *carried)).alias("head"))
+    return stage(heads.select("bucket", F.col("head.node").alias("head"), *[F.col(f"head.{c}").alias(c) for c in carried]), "heads")
+
+
+def headed(buckets: DataFrame) -> tuple[DataFrame, DataFrame, list[str]]:
+    """Shared rows of `buckets`, the heads of their buckets, and the paths that hold both."""
+    shared, at_shared = shared_buckets(buckets)
+    heads, at_heads = heads_of(shared)
+    return shared, heads, [at_shared, at_heads]
+
+
+Verified = Callable[[DataFrame], DataFrame]
 
 
-def classes(buckets: DataFrame, verified: Callable[[DataFrame], DataFrame], likely: Column | None = None) -> DataFrame:
+def classes(shared: DataFrame, verifier: Callable[[DataFrame], Verified], carried: tuple[str, ...] = (), likely: Column | None = None) -> DataFrame:
     """(node, component) of nodes that are linked over shared buckets.
 
-    buckets: bucket, node and columns that `likely` compares (as x.* and y.*); verified: pairs
-    (a, b) -> the links among them. Pairs are not formed within a bucket. First each node meets
-    the head of its bucket (see `headed`). Then a bucket whose nodes fall into several components
-    lets the nodes outside its head's component meet the nodes of other components: every link between
-    components has such a node, so none is lost, and copies that are together meet no more.
+    shared: bucket, node and the `carried` columns that `likely` compares (as x.* and y.*); verifier: all nodes
+    that may come into a pair -> a function from pairs (a, b) to the links among them. Pairs are not formed
+    within a bucket. First each node meets the head of its bucket (see `heads_of`). Then a bucket whose
+    nodes fall into several components lets the nodes outside its head's component meet the nodes
+    of other components: every link between components has such a node, so none is lost, and copies
+    that are together meet no more.
     """
-    spark = buckets.sparkSession
-    shared, heads, at = headed(buckets)
-    pairs = shared.select("bucket", "node").join(heads, "bucket").where("node <> head")
-    edges, _ = stage(verified(pairs.select(F.least("head", "node").alias("a"), F.greatest("head", "node").alias("b")).distinct()), "links")
+    spark = shared.sparkSession
+    likely = F.lit(True) if likely is None else likely
+    heads, at_heads = heads_of(shared, *carried)
+    meets = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") != F.col("y.node")) & likely
+    pairs = shared.alias("x").join(heads.withColumnRenamed("head", "node").alias("y"), meets)
+    pairs, at_pairs = stage(pairs.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct(), "pairs")
+    met = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    beside = shared.join(met, "node", "left_anti").alias("x").join(shared.alias("y"), meets, "left_semi").select("node")
+    verified = verifier(met.union(beside).distinct())
+    edges, _ = stage(verified(pairs), "links")
     found = connected(edges, "a", "b")
     named = heads.join(found, F.col("head") == F.col("node"), "left").select("bucket", F.coalesce("component", "head").alias("first"))
     members = shared.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")).join(named, "bucket")
     members, at_members = stage(members, "members")
-    meets = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component"))
-    more = members.where("component <> first").alias("x").join(members.alias("y"), meets if likely is None else meets & likely)
+    apart = (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.component") != F.col("y.component")) & likely
+    more = members.where("component <> first").alias("x").join(members.alias("y"), apart)
     more = more.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
     others, _ = stage(verified(more), "links")
-    for path in (*at, at_members):
+    for path in (at_heads, at_pairs, at_members):
         drop_path(spark, path)
     return connected(edges.union(others), "a", "b") if others.limit(1).count() else found
 

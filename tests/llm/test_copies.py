@@ -1,6 +1,7 @@
 """MinHash, substrings and lines, against all pairs and planted cases."""
 
 import random
+import re
 from itertools import combinations
 
 import numpy as np
@@ -8,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from cartulary.llm import lines, minhash, queries, substrings
-from cartulary.llm.common import classes, connected, lower_ascii, word_hashes, words
+from cartulary.llm.common import classes, connected, lower_ascii, shared_buckets, word_hashes, words
 
 
 def prose(rng, n):
@@ -40,7 +41,7 @@ def test_classes_lose_no_link(spark):
     """Nodes of a bucket are linked when near; the leader is near to few."""
     rows = [(b, n) for b, members in enumerate([range(0, 40), range(30, 70), [5, 200, 203], [500]]) for n in members]
     near = lambda pairs: pairs.where(F.abs(F.col("a") - F.col("b")) <= 3)
-    got = {r.node: r.component for r in classes(spark.createDataFrame(rows, "bucket long, node long"), near).collect()}
+    got = {r.node: r.component for r in classes(shared_buckets(spark.createDataFrame(rows, "bucket long, node long"))[0], lambda nodes: near).collect()}
     assert got == components([(a, b) for m in (range(0, 40), range(30, 70), [5, 200, 203]) for a, b in combinations(m, 2) if b - a <= 3])
 
 
@@ -218,6 +219,25 @@ def levenshtein(a, b):
     return row[-1]
 
 
+def test_block_hashes_follow_lines():
+    """Texts of a block keep to themselves; equal lines, and only they, have equal digests; SimHash is the majority of the different words."""
+    rng = random.Random(8)
+    long = " ".join(rng.choices([f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(600)], k=2000))
+    texts = ["", "a b c d e", "f\nA  b, C d\u00e9 E 17\n", "", "\n\nx", "y z \u65e5\u672c u v\nx y z z z z\na b c d\u00e9 e 99 \n" + long, " a b c d e\n", ""]
+    data = [t.encode() for t in texts]
+    begins = np.cumsum([0, *map(len, data)])[:-1]
+    got = lines.block_hashes(np.frombuffer(b"".join(data), np.uint8), begins)
+    plain = [(i, n, re.sub("[0-9]", "0", " ".join(words(line)))) for i, t in enumerate(texts) for n, line in enumerate(t.split("\n")) if len(words(line)) >= lines.LEAST]
+    assert list(zip(got[0].tolist(), got[1].tolist())) == [x[:2] for x in plain] and len(plain) == 7
+    digests = [tuple(x) for x in got[2].tolist()]
+    assert all((digests[i] == digests[j]) == (plain[i][2] == plain[j][2]) for i, j in combinations(range(7), 2))
+    own = {w: int(h) for _, _, line in plain for w in line.split(" ") for h in lines.line_hashes(w, 1)[2]}  # one word's SimHash is its hash
+    for (_, _, line), sim in zip(plain, got[3].tolist()):
+        kinds = [own[w] for w in set(line.split(" "))]
+        assert sim == sum(1 << b for b in range(64) if 2 * sum(k >> b & 1 for k in kinds) > len(kinds))
+    assert len(lines.block_hashes(np.empty(0, np.uint8), np.zeros(3, np.int64))[0]) == 0
+
+
 def test_lines_equal_all_pairs(spark):
     rng = random.Random(4)
     base = [prose(rng, 40) for _ in range(12)]
