@@ -158,7 +158,19 @@ def classes(shared: DataFrame, verifier: Callable[[DataFrame], Verified], carrie
     others, _ = stage(verified(more), "links")
     for path in (at_heads, at_pairs, at_members):
         drop_path(spark, path)
-    return connected(edges.union(others), "a", "b") if others.limit(1).count() else found
+    return merged(found, others) if others.limit(1).count() else found
+
+
+def merged(found: DataFrame, others: DataFrame) -> DataFrame:
+    """`found` (node, component) after more links (a, b): only components are connected anew, not their nodes."""
+    between = others.select("a", "b")
+    for x in "ab":
+        own = found.select(F.col("node").alias(x), F.col("component").alias(f"in_{x}"))
+        between = between.join(own, x, "left").withColumn(f"in_{x}", F.coalesce(f"in_{x}", x))
+    wider = connected(between, "in_a", "in_b")
+    names = wider.select(F.col("node").alias("component"), F.col("component").alias("wide"))
+    renamed = found.join(names, "component", "left").select("node", F.coalesce("wide", "component").alias("component"))
+    return renamed.unionByName(wider.join(found.select("node"), "node", "left_anti"))
 
 
 def connected(edges: DataFrame, first: str, second: str) -> DataFrame:
