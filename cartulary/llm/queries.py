@@ -1,4 +1,4 @@
-"""The ten operators, applied to their tables with production parameters."""
+"""The thirteen operators, applied to their tables with production parameters."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartulary.llm import decontaminate, lines, minhash, packing, quality, secrets, substrings, toxicity, urls, warc
+from cartulary.llm import decontaminate, fim, lines, minhash, packing, quality, secrets, substrings, toxicity, urls, warc
 from cartulary.sources.storage import scratch_folder
 
 QUERIES, ORACLES = {}, {}
@@ -131,3 +131,34 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     found = quality.assess(_table(spark, folder, "documents").select("doc_id", "source", "text"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "line_chars", "removed_chars")
+
+
+OP11_SQL = r"""
+WITH own AS (
+  SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '[A-Za-z]+|[^A-Za-z]') AS tokens,
+    sha256('1:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+drawn AS (SELECT doc_id, text, tokens, len(tokens) AS n, [('0x' || substr(h, 8 * i + 1, 8))::BIGINT FOR i IN range(4)] AS h FROM own),
+cut AS (
+  SELECT doc_id, text, n,
+    CASE WHEN text = '' OR text LIKE '%<P>%' OR text LIKE '%<S>%' OR text LIKE '%<M>%' OR h[3] % 100 >= 90 THEN 'plain'
+      WHEN h[4] % 100 < 20 THEN 'spm' ELSE 'psm' END AS form,
+    array_to_string(list_slice(tokens, 1, least(h[1] % (n + 1), h[2] % (n + 1))), '') AS p,
+    array_to_string(list_slice(tokens, least(h[1] % (n + 1), h[2] % (n + 1)) + 1, greatest(h[1] % (n + 1), h[2] % (n + 1))), '') AS m,
+    array_to_string(list_slice(tokens, greatest(h[1] % (n + 1), h[2] % (n + 1)) + 1, n), '') AS s
+  FROM drawn)
+SELECT doc_id, n::BIGINT AS n, form,
+  CASE WHEN form <> 'plain' THEN length(coalesce(p, '')) END::BIGINT AS prefix_chars,
+  CASE WHEN form <> 'plain' THEN length(coalesce(m, '')) END::BIGINT AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || coalesce(p, '') || '<S>' || coalesce(s, '') || '<M>' || coalesce(m, '')
+    ELSE '<S>' || coalesce(s, '') || '<P>' || coalesce(p, '') || '<M>' || coalesce(m, '') END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM cut
+"""
+
+
+@query(OP11_SQL)
+def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document transformed, and its text rebuilt from the output."""
+    found = fim.restore(fim.transform(_table(spark, folder, "documents").select("doc_id", "text")))
+    digests = {f"{c}_sha256": F.sha2(c, 256) for c in ("output", "restored")}
+    return found.withColumns(digests).select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
