@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cartulary.llm import decontaminate, fim, lines, minhash, packing, quality, secrets, substrings, toxicity, urls, warc
+from cartulary.llm import decontaminate, extract, fim, lines, minhash, packing, quality, ranked, secrets, substrings, toxicity, urls, warc
 from cartulary.sources.storage import scratch_folder
 
 QUERIES, ORACLES = {}, {}
@@ -162,3 +162,52 @@ def op11_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
     found = fim.restore(fim.transform(_table(spark, folder, "documents").select("doc_id", "text")))
     digests = {f"{c}_sha256": F.sha2(c, 256) for c in ("output", "restored")}
     return found.withColumns(digests).select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+OP12_SQL = r"""
+WITH words AS (
+  SELECT r, doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS t
+  FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents)),
+tfs AS (SELECT r, doc_id, t, count(*)::BIGINT AS tf FROM words GROUP BY ALL),
+lengths AS (SELECT r, sum(tf)::BIGINT AS n FROM tfs GROUP BY r),
+corpus AS (SELECT count(*)::BIGINT AS n_docs, sum(n)::BIGINT AS n_terms FROM lengths),
+damped AS (SELECT r, 100 - 50 + (50 * n * n_docs) // n_terms AS m FROM lengths, corpus),
+items AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')) AS t
+  FROM benchmark),
+weights AS (
+  SELECT t, floor(1000 * ln((2 * n_docs + 2) / (2 * df + 1)))::BIGINT AS w
+  FROM (SELECT t, count(*) AS df FROM tfs WHERE t IN (SELECT t FROM items) GROUP BY t), corpus),
+scores AS (
+  SELECT item_id, r, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+  FROM items JOIN weights USING (t) JOIN tfs USING (t) JOIN damped USING (r) GROUP BY ALL)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM scores WHERE score > 0)
+WHERE rank <= 50
+"""
+
+
+@query(OP12_SQL)
+def op12_ranked_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The 50 best documents of each benchmark item."""
+    return ranked.rank(_table(spark, folder, "documents"), _table(spark, folder, "benchmark"))
+
+
+#: For pages of the given tables: an article of headings and paragraphs, and everything else outside it.
+OP13_SQL = r"""
+WITH article AS (SELECT page_id, url, regexp_extract(coalesce(html, ''), '(?s)<article>(.*?)(?:</article>|$)', 1) AS a FROM pages),
+blocks AS (SELECT page_id, url, string_split_regex(a, '</?(?:p|h1)>') AS b FROM article),
+bare AS (SELECT page_id, url, list_transform(b, lambda x: regexp_replace(regexp_replace(x, '<br>', ' ', 'g'), '<[^>]*>', '', 'g')) AS b FROM blocks),
+decoded AS (
+  SELECT page_id, url, list_transform(b, lambda x: trim(regexp_replace(
+    regexp_replace(replace(replace(replace(replace(x, '&lt;', '<'), '&gt;', '>'), '&quot;', '"'), '&#x27;', ''''), '&amp;?', '&', 'g'), '\s+', ' ', 'g'))) AS b
+  FROM bare),
+joined AS (SELECT page_id, url, coalesce(array_to_string(list_filter(b, lambda x: x <> ''), chr(10)), '') AS text FROM decoded)
+SELECT page_id, url, text, length(text)::BIGINT AS n_chars FROM joined
+"""
+
+
+@query(OP13_SQL)
+def op13_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = extract.main_text(_table(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
