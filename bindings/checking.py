@@ -6,15 +6,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from bindings.cleaning import KEY, TYPED_LINES_SQL, hmac_sql, raw_lines, with_cents
+from bindings.files import write_inbox
 from bindings.registry import query, table
 from cartulary.functions.pseudonyms import Pseudonyms
 from cartulary.operators.links import flag_exists, flag_repeats, newest_per_key
 from cartulary.operators.merge import merge_counts, merge_rows, newer_version, upsert
-from cartulary.operators.policy import apply_policy
-from cartulary.operators.preparation import prepare
-from cartulary.operators.quality import WARNING, Checked, Rule, check
-from cartulary.sources.layouts import Layout
-from cartulary.sources.storage import read_table, scratch_folder, stage, write_version
+from cartulary.operators.quality import WARNING, Rule, check
+from cartulary.plans.audit import read_runs, with_details
+from cartulary.plans.ingest import ingest
+from cartulary.plans.lake import Lake, Parameters
+from cartulary.plans.refine import Load, Lookup, located, refine
+from cartulary.sources.layouts import Feed, Layout
+from cartulary.sources.storage import read_partitioned, read_table, scratch_folder, stage, write_version
 
 # -- rules --------------------------------------------------------------------------------
 
@@ -127,15 +130,6 @@ def exists_flag(spark, folder):
     return flag_exists(customers, reference, "c_custkey", "has_large_order")
 
 
-def placed(df: DataFrame) -> DataFrame:
-    """Adds where each row lies in its file, so that equal rows can be told apart."""
-    return df.select(
-        "*",
-        F.xxhash64("_metadata.file_path").alias("_file_key"),
-        F.col("_metadata.row_index").alias("_row_number"),
-    )
-
-
 REPEATS_SQL = """
 SELECT *, row_number() OVER (PARTITION BY l_orderkey, l_linenumber
                              ORDER BY CAST(l_shipdate AS DATE) DESC NULLS LAST, digest) > 1 AS is_repeat
@@ -165,7 +159,7 @@ SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedpri
        CAST(l_shipdate AS DATE) AS ship_date, is_repeat FROM ({REPEATS_SQL})
 """)
 def duplicate_flag(spark, folder):
-    lines = placed(table(spark, folder, "lineitem")).withColumns(
+    lines = located(table(spark, folder, "lineitem")).withColumns(
         {"ship_date": F.col("l_shipdate").cast("date"), "_record_hash": line_digest()}
     )
     identity = ["_record_hash", "_file_key", "_row_number"]
@@ -206,7 +200,7 @@ SELECT o_custkey, o_orderkey, CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderda
 FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS n
       FROM orders WHERE o_orderdate >= DATE '{0}' AND o_orderdate < DATE '{1}') WHERE n = 1
 """
-STORED, INCOMING = ("1995-01-01", "1999-01-01"), ("1998-07-01", "1999-07-01")
+STORED, INCOMING = ("0001-01-01", "1999-01-01"), ("1998-07-01", "9999-01-01")
 MERGE_SQL = f"""
 SELECT coalesce(t.o_custkey, s.o_custkey) AS o_custkey,
        CASE WHEN t.o_custkey IS NULL THEN 'inserted'
@@ -256,7 +250,7 @@ def upsert_table(spark, folder):
     """The same merge through a stored table: first version, upsert, read back."""
     orders = table(spark, folder, "orders")
     target = scratch_folder(spark, "states")
-    write_version(state_of_customers(orders, *STORED), target)
+    upsert(state_of_customers(orders, *STORED), target, "o_custkey", newer_version("version"))
     counts = upsert(state_of_customers(orders, *INCOMING), target, "o_custkey", newer_version("version"))
     return read_table(spark, target).withColumns({name: F.lit(n).cast("bigint") for name, n in counts.items()})
 
@@ -279,48 +273,50 @@ SHIPMENTS = Layout.parse(
 )
 
 
-def shipment_rules() -> list[Rule]:
-    return [
-        Rule("types_valid", F.size("_invalid_types") == 0, WARNING),
-        Rule("line_id_present", F.col("line_id").isNotNull()),
-        Rule("unique_record", ~F.col("_duplicate")),
-        Rule("supplier_solvent", F.col("_supplier_exists")),
-        Rule("quantity_read", F.col("quantity") >= 0),
-        Rule("ship_date_valid", F.col("ship_date").isNotNull() & (F.col("ship_date") <= F.lit("2001-06-01").cast("date"))),
-        Rule("flag_given", F.col("flag").isNotNull(), WARNING),
-    ]
+SHIPMENT_LOAD = Load(
+    "shipments",
+    "shipments",
+    Feed(SHIPMENTS, "LINES_*.TXT"),
+    """
+    types_valid | warning | size(_invalid_types) = 0
+    line_id_present | blocking | line_id IS NOT NULL
+    unique_record | blocking | NOT _duplicate
+    supplier_solvent | blocking | _supplier_exists
+    quantity_read | blocking | quantity >= 0
+    ship_date_valid | blocking | ship_date IS NOT NULL AND ship_date <= _reference_date
+    flag_given | warning | flag IS NOT NULL
+    """,
+    lookups=(Lookup("_supplier_exists", "supplier", "solvent_suppliers"),),
+    repeats=("line_id",),
+    newest_by="ship_date",
+    key="line_id",
+    version="ship_date",
+)
 
 
-def checked_shipments(spark, folder) -> Checked:
-    """Raw text to checked rows: prepare, policy, existence, repeats, rules."""
-    lines = placed(table(spark, folder, "lineitem"))
-    located = ["_file_key", "_row_number"]
-    texts = raw_lines(with_cents(lines), "l_suppkey", "l_partkey", *located).select(
-        "*",
-        F.col("l_suppkey").cast("string").alias("SUPPLIER"),
-        F.concat("LINE_NUMBER", F.lit("-"), F.trim("ORDER_KEY")).alias("LINE_CODE"),
-        F.lit("free text").alias("REMARK"),
+def loaded_shipments(spark, folder) -> Lake:
+    """lineitem as text files of one snapshot, through ingest and the load step."""
+    root = scratch_folder(spark, "shipments")
+    lake = Lake(root)
+    texts = raw_lines(with_cents(table(spark, folder, "lineitem")), F.col("l_suppkey").cast("string").alias("SUPPLIER")).select(
+        "*", F.concat("LINE_NUMBER", F.lit("-"), F.trim("ORDER_KEY")).alias("LINE_CODE"), F.lit("free text").alias("REMARK")
     )
-    digest = F.sha2(F.concat_ws("|", "QUANTITY", "PRICE", "SHIP_DATE", "SUPPLIER", "l_partkey"), 256)
-    raw = texts.select(*SHIPMENTS.names, digest.alias("_record_hash"), *located)
-    rows = apply_policy(prepare(raw, SHIPMENTS), SHIPMENTS, Pseudonyms(spark, KEY))
+    write_inbox(texts.select(F.lit("01062001").alias("day"), F.concat_ws(";", *SHIPMENTS.names).alias(";".join(SHIPMENTS.names))), f"{root}/inbox", "LINES")
+    ingest(spark, lake, "shipments", f"{root}/inbox", "run", feed=SHIPMENT_LOAD.feed)
     solvent = table(spark, folder, "supplier").where("s_acctbal >= 0").select(F.col("s_suppkey").cast("int").alias("supplier"))
-    rows = flag_exists(rows, solvent, "supplier", "_supplier_exists")
-    rows = flag_repeats(rows, ["line_id"], ["_record_hash", *located], "ship_date")
-    return check(rows, shipment_rules())
+    write_version(solvent, lake.path("silver", "solvent_suppliers"))
+    refine(spark, lake, "run", SHIPMENT_LOAD, Pseudonyms(spark, KEY), Parameters(max_rejection_rate=1.0))
+    return lake
 
 
 SHIPMENTS_SQL = f"""
 WITH joined AS (
   SELECT *, l_suppkey AS supplier, {hmac_sql("ltrim(l_linenumber || '' || l_orderkey, '0')", "line_id")} AS line_id
   FROM ({TYPED_LINES_SQL})),
-hashed AS (
-  SELECT *, sha256(quantity_text || '|' || price_text || '|' || ship_date_text || '|' || supplier || '|' || l_partkey)
-            AS digest FROM joined),
 flagged AS (
   SELECT h.*, s.s_suppkey IS NOT NULL AS supplier_exists,
          row_number() OVER (PARTITION BY line_id ORDER BY ship_date DESC NULLS LAST, digest) > 1 AS repeated
-  FROM hashed h LEFT JOIN supplier s ON s.s_suppkey = h.supplier AND s.s_acctbal >= 0)
+  FROM joined h LEFT JOIN supplier s ON s.s_suppkey = h.supplier AND s.s_acctbal >= 0)
 SELECT order_key, line_number, quantity, price, ship_date, flag, supplier, line_id,
        concat_ws(',', CASE WHEN repeated THEN 'unique_record' END,
                       CASE WHEN NOT supplier_exists THEN 'supplier_solvent' END,
@@ -335,36 +331,46 @@ FROM flagged
 
 @query(SHIPMENTS_SQL)
 def silver_load(spark, folder):
-    return checked_shipments(spark, folder).rows.select(
-        *[f.target for f in SHIPMENTS.fields if f.action != "drop"],
-        F.array_join("_failures", ",").alias("failures"),
-        F.array_join("_warnings", ",").alias("warnings"),
-    )
+    """The published rows and the quarantined ones."""
+    lake = loaded_shipments(spark, folder)
+    names = [f.target for f in SHIPMENTS.fields if f.action != "drop"]
+    warnings = F.array_join("_warnings", ",").alias("warnings")
+    published = read_table(spark, lake.path("silver", "shipments")).select(*names, F.lit("").alias("failures"), warnings)
+    rejected = read_partitioned(spark, lake.path("quarantine", "shipments"))
+    return published.unionByName(rejected.select(*names, F.array_join("_failures", ",").alias("failures"), warnings))
 
 
 @query(f"""
-SELECT flag, count(*) AS n_rows, count(*) FILTER (WHERE failures = '') AS n_valid,
-       sum(price) FILTER (WHERE failures = '') AS valid_price,
-       count(DISTINCT line_id) FILTER (WHERE failures = '') AS n_lines
-FROM ({SHIPMENTS_SQL}) GROUP BY flag
+SELECT flag, count(*) AS n_valid, sum(price) AS valid_price, count(DISTINCT line_id) AS n_lines
+FROM ({SHIPMENTS_SQL}) WHERE failures = '' GROUP BY flag
 """)
 def silver_publish(spark, folder):
-    """The load through storage: stage the flagged rows, publish the valid half, report."""
-    flagged = checked_shipments(spark, folder).rows.withColumn("_rejected", F.size("_failures") > 0)
-    staged, _ = stage(flagged, "shipments", "_rejected")
-    target = scratch_folder(spark, "silver")
-    upsert(
-        staged.where("NOT _rejected").select("line_id", "flag", "price", "ship_date"),
-        target,
-        "line_id",
-        newer_version("ship_date"),
-    )
-    stored = read_table(spark, target)
-    valid = stored.groupBy("flag").agg(
+    """What the load published, from the keyed table."""
+    stored = read_table(spark, loaded_shipments(spark, folder).path("silver", "shipments"))
+    return stored.groupBy("flag").agg(
         F.count(F.lit(1)).alias("n_valid"), F.sum("price").alias("valid_price"), F.countDistinct("line_id").alias("n_lines")
     )
-    totals = staged.groupBy("flag").agg(F.count(F.lit(1)).alias("n_rows"))
-    joined = totals.alias("t").join(valid.alias("v"), F.expr("t.flag <=> v.flag"), "left")
-    return joined.selectExpr(
-        "t.flag AS flag", "n_rows", "coalesce(n_valid, 0) AS n_valid", "valid_price", "coalesce(n_lines, 0) AS n_lines"
-    )
+
+
+@query(f"""
+SELECT r.rule, r.severity, count(*) FILTER (WHERE list_contains(string_split(failures || ',' || warnings, ','), r.rule)) AS failures,
+       count(*) AS total, DATE '2001-06-01' AS reference_date
+FROM ({SHIPMENTS_SQL}), (VALUES ('types_valid', 'warning'), ('line_id_present', 'blocking'), ('unique_record', 'blocking'),
+  ('supplier_solvent', 'blocking'), ('quantity_read', 'blocking'), ('ship_date_valid', 'blocking'), ('flag_given', 'warning')) r(rule, severity)
+GROUP BY ALL
+""")
+def quality_log(spark, folder):
+    """The load's entries in the quality log, one for each rule."""
+    log = read_partitioned(spark, loaded_shipments(spark, folder).path("audit", "quality"))
+    return log.select("rule", "severity", "failures", "total", "reference_date")
+
+
+@query(f"""
+SELECT 'silver' AS stage, 'success' AS status, count(*) AS rows_in, count(*) FILTER (WHERE failures = '') AS rows_out,
+       count(*) FILTER (WHERE failures <> '') AS rows_quarantined, count(*) FILTER (WHERE failures = '') AS rows_inserted
+FROM ({SHIPMENTS_SQL})
+""")
+def load_step(spark, folder):
+    """The load's own entry in the run log, details read back."""
+    runs = with_details(read_runs(spark, loaded_shipments(spark, folder))).where("stage = 'silver'")
+    return runs.select("stage", "status", "rows_in", "rows_out", "rows_quarantined", "rows_inserted")

@@ -110,8 +110,11 @@ SELECT CASE WHEN regexp_full_match(order_key, '[+-]?[0-9]+') THEN try_cast(order
                      CASE WHEN length(ship_date) = 8 THEN try_strptime(ship_date, '%d%m%Y') END) AS DATE) AS ship_date,
        flag,
        quantity AS quantity_text, ship_date AS ship_date_text, price AS price_text,
-       l_orderkey, l_linenumber, l_suppkey, l_partkey
-FROM (SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey, trim(order_key) AS order_key, trim(line_number) AS line_number, trim(quantity) AS quantity,
+       l_orderkey, l_linenumber, l_suppkey, l_partkey, digest
+FROM (SELECT l_orderkey, l_linenumber, l_suppkey, l_partkey,
+             sha256(concat_ws('|', order_key, line_number, quantity, price, ship_date, flag, l_suppkey,
+                              line_number || '-' || trim(order_key), 'free text')) AS digest,
+             trim(order_key) AS order_key, trim(line_number) AS line_number, trim(quantity) AS quantity,
              trim(price) AS price, trim(ship_date) AS ship_date,
              nullif(trim(replace(flag, chr(0), '')), '') AS flag
       FROM ({RAW_LINES_SQL}))

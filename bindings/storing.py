@@ -2,21 +2,23 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from bindings.files import write_inbox
 from bindings.registry import query, table
-from cartulary.plans.audit import freshness, latest_loads, run_report, volume_changes
-from cartulary.plans.ingest import load_counts, load_files, new_files, retention_cutoff
-from cartulary.plans.refine import pending_snapshots
+from cartulary.plans.audit import freshness, latest_loads, noted_changes, read_runs, run_report, volume_changes
+from cartulary.plans.ingest import apply_retention, ingest, load_counts
+from cartulary.plans.lake import Lake
+from cartulary.plans.refine import Load, pending_snapshots, refine
 from cartulary.sources.delimited import arrivals, header_verdict, first_lines
 from cartulary.sources.layouts import Feed, Layout
 from cartulary.sources.storage import (
     append,
-    drop_partitions_before,
-    matching_paths,
-    path_exists,
     read_partitioned,
+    read_table,
     replace_partition,
     replace_partitions,
     scratch_folder,
@@ -44,24 +46,11 @@ def export_orders(spark: SparkSession, folder: str, short_rows: bool = False) ->
     """
     short = F.col("o_orderstatus") == "P" if short_rows else F.lit(False)
     fields = [F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderstatus"), cents(), iso_day()]
-    header = ";".join(ORDERS.names)
     line = F.when(short, F.concat_ws(";", *fields[:-1])).otherwise(F.concat_ws(";", *fields))
     root = scratch_folder(spark, "inbox")
-    (
-        table(spark, folder, "orders")
-        .select(F.date_format("o_orderdate", "yyyy-MM").alias("month"), "o_orderkey", line.alias(header))
-        .repartitionByRange("month", "o_orderkey")
-        .drop("o_orderkey")
-        .write.partitionBy("month")
-        .options(header="true", sep="\u0002", quote="\u0001", emptyValue="")
-        .csv(f"{root}/written")
-    )
-    jvm = spark._jvm.org.apache.hadoop.fs
-    fs = jvm.Path(root).getFileSystem(spark._jsc.hadoopConfiguration())
-    fs.mkdirs(jvm.Path(f"{root}/inbox"))
-    for n, path in enumerate(matching_paths(spark, f"{root}/written/month=*/part-*")):
-        year, month = path.split("month=")[1][:7].split("-")
-        fs.rename(jvm.Path(path), jvm.Path(f"{root}/inbox/ORDERS_01{month}{year}_{n}X.TXT"))
+    month = F.date_format(F.trunc("o_orderdate", "month"), "ddMMyyyy").alias("day")
+    lines = table(spark, folder, "orders").select(month, "o_orderkey", line.alias(";".join(ORDERS.names)))
+    write_inbox(lines.repartitionByRange("day", "o_orderkey").drop("o_orderkey"), f"{root}/inbox", "ORDERS")
     return root
 
 
@@ -73,15 +62,13 @@ def iso_day():
     return F.date_format("o_orderdate", "yyyy-MM-dd")
 
 
-def load_once(spark: SparkSession, root: str) -> int:
-    """Load the files of `root` whose name is not loaded yet; returns how many there were."""
-    target = f"{root}/bronze"
-    listed = arrivals(spark, f"{root}/inbox", FEED.pattern)
-    loaded = read_partitioned(spark, target) if path_exists(spark, target) else None
-    due = new_files(listed, loaded).collect()
-    if due:
-        load_files(spark, [r.path for r in due], FEED, target, sorted({r.snapshot for r in due}), "run")
-    return len(due)
+def load_orders(spark: SparkSession, root: str, run_id: str = "run") -> int:
+    """Load the files of `root` that are not recorded as loaded; returns how many were read."""
+    return ingest(spark, Lake(root), "orders", f"{root}/inbox", run_id, feed=FEED)
+
+
+def bronze_orders(spark: SparkSession, root: str) -> DataFrame:
+    return read_partitioned(spark, Lake(root).path("bronze", "orders"))
 
 
 ORDERS_TEXT_SQL = """
@@ -100,11 +87,10 @@ FROM ({ORDERS_TEXT_SQL})
 def ingest_idempotent(spark, folder):
     """Load all files, then load again: the second call finds nothing new."""
     root = export_orders(spark, folder)
-    load_once(spark, root)
-    if load_once(spark, root):
+    load_orders(spark, root)
+    if load_orders(spark, root, "again"):
         raise AssertionError("a loaded file was seen as new")
-    bronze = read_partitioned(spark, f"{root}/bronze")
-    return bronze.select(
+    return bronze_orders(spark, root).select(
         *[F.col(name).alias(name.lower()) for name in ORDERS.names],
         F.col("_reference_date").alias("snapshot"),
         F.col("_record_hash").alias("digest"),
@@ -118,8 +104,8 @@ FROM orders GROUP BY ALL
 """)
 def load_counts_by_snapshot(spark, folder):
     root = export_orders(spark, folder, short_rows=True)
-    load_once(spark, root)
-    counted = load_counts(read_partitioned(spark, f"{root}/bronze"))
+    load_orders(spark, root)
+    counted = load_counts(spark, Lake(root).path("bronze", "orders"))
     return counted.groupBy(F.col("_reference_date").alias("snapshot")).agg(
         F.sum("rows").alias("rows"), F.sum("corrupt_rows").alias("corrupt_rows")
     )
@@ -131,7 +117,7 @@ def stream_arrivals(spark, folder):
     root = export_orders(spark, folder)
     for _ in range(2):
         load_arrivals(spark, f"{root}/inbox", FEED, f"{root}/bronze", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/bronze").select(
+    return read_partitioned(spark, f"{root}/bronze").select(
         *[F.col(name).alias(name.lower()) for name in ORDERS.names], F.col("_reference_date").alias("snapshot")
     )
 
@@ -184,17 +170,40 @@ SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS snapshot, count(*) AS n
 FROM orders WHERE o_orderdate >= DATE '2000-02-01' GROUP BY ALL
 """)
 def retention_keep(spark, folder):
-    """Snapshots older than 18 months before August 2001 are deleted."""
-    import datetime
+    """Snapshots older than 18 months before August 2001 are deleted, and so is their record."""
+    root = export_orders(spark, folder)
+    load_orders(spark, root)
+    apply_retention(spark, Lake(root), "retention", 18, datetime.date(2001, 8, 1), {"orders": FEED})
+    return bronze_orders(spark, root).groupBy(F.col("_reference_date").alias("snapshot")).agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("""
+WITH months AS (SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS snapshot, count(*) AS n,
+                       count(*) FILTER (WHERE o_orderstatus = 'P') AS bad FROM orders GROUP BY ALL),
+changes AS (SELECT *, median(n) OVER (ORDER BY snapshot ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING) AS base FROM months)
+SELECT snapshot, n AS rows_in, bad AS corrupt_rows, round((n - base) / base, 4) AS volume_change, abs((n - base) / base) > 0.2 AS unusual
+FROM changes WHERE base IS NOT NULL
+""")
+def noted_volume(spark, folder):
+    """What each monthly load noted in the run log, read back from its JSON."""
+    root = export_orders(spark, folder, short_rows=True)
+    load_orders(spark, root)
+    noted = noted_changes(read_runs(spark, Lake(root)))
+    return noted.select(F.col("reference_date").alias("snapshot"), "rows_in", "corrupt_rows", "volume_change", "unusual")
+
 
-    orders = table(spark, folder, "orders").withColumn("snapshot", F.trunc(F.col("o_orderdate").cast("date"), "month"))
-    target = scratch_folder(spark, "retained")
-    orders.select("o_orderkey", "snapshot").repartitionByRange("snapshot", "o_orderkey").write.partitionBy(
-        "snapshot"
-    ).parquet(target)
-    cutoff = retention_cutoff(datetime.date(2001, 8, 1), 18)
-    drop_partitions_before(spark, target, "snapshot", cutoff.isoformat())
-    return read_partitioned(spark, target).groupBy("snapshot").agg(F.count(F.lit(1)).alias("n"))
+@query("""
+SELECT CAST(date_trunc('month', o_orderdate) AS DATE) AS reference_date, 'success' AS status, count(*) AS rows_in, count(*) AS rows_out
+FROM orders GROUP BY ALL
+UNION ALL
+SELECT DISTINCT CAST(date_trunc('month', o_orderdate) AS DATE), 'skipped', NULL, NULL FROM orders
+""")
+def step_log(spark, folder):
+    """The run log of a load and of the same load again."""
+    root = export_orders(spark, folder)
+    load_orders(spark, root)
+    load_orders(spark, root, "again")
+    return read_runs(spark, Lake(root)).select("reference_date", "status", "rows_in", "rows_out")
 
 
 # -- snapshots and audit ------------------------------------------------------------------
@@ -239,10 +248,16 @@ SELECT o_orderkey, o_custkey FROM orders
 WHERE date_trunc('month', o_orderdate) = (SELECT max(date_trunc('month', o_orderdate)) FROM orders)
 """)
 def latest_snapshot(spark, folder):
-    orders = table(spark, folder, "orders")
-    month = F.trunc(F.col("o_orderdate").cast("date"), "month")
-    newest = orders.agg(F.trunc(F.max("o_orderdate").cast("date"), "month").alias("m")).scalar()
-    return orders.where(month == newest).select("o_orderkey", "o_custkey")
+    """A table without key takes the newest snapshot; older ones that come later don't replace it."""
+    root = export_orders(spark, folder)
+    load_orders(spark, root)
+    load = Load("current_orders", "orders", FEED, "layout_valid | blocking | NOT _layout_invalid")
+    refine(spark, Lake(root), "run", load)
+    if refine(spark, Lake(root), "again", load):
+        raise AssertionError("an older snapshot was due")
+    return read_table(spark, Lake(root).path("silver", "current_orders")).select(
+        F.col("order_key").cast("bigint").alias("o_orderkey"), F.col("customer").cast("bigint").alias("o_custkey")
+    )
 
 
 def order_runs(orders: DataFrame) -> DataFrame:

@@ -44,11 +44,11 @@ def flag_repeats(
     `identity` must tell any two rows apart (for example digest, file and row position).
     Rows whose first key is null are never repeats.
 
-    Three narrow steps replace a window over whole rows: count the keys, pick the kept row of
-    each key that does repeat, and mark by joining it back. Both aggregates combine before
-    the shuffle, so a key that holds a large part of the table never lands whole in one task,
-    and while few keys repeat the last join is a broadcast and the rows are not shuffled at
-    all. Null keys are spread over many join partitions.
+    Two steps replace a window over whole rows: one aggregate counts each key and finds its kept
+    row, and joining those of keys that do repeat marks the rows. The aggregate reads only key, order and
+    identity and combines before its shuffle, so a key that holds a large part of the table
+    never lands whole in one task. While few keys repeat, the join is a broadcast and the rows
+    are not shuffled at all; otherwise a frequent key only widens its left side, which Spark splits.
 
     Keys are compared as one struct: null-safe, and no not-null filter is derived from it
     that would compute the key expression a second time at the scan.
@@ -59,17 +59,11 @@ def flag_repeats(
     slot = F.when(first.isNull(), F.pmod(F.xxhash64(*identity), F.lit(NULL_SPREAD)).cast("int")).otherwise(0)
     keyed = df.withColumn("_key", F.struct(*keys, slot.alias("_slot")))
 
-    repeated = (
-        df.groupBy(*keys).count().where("count > 1").select(F.struct(*keys, F.lit(0).alias("_slot")).alias("_key"))
-    )
-    kept = (
-        keyed.join(repeated, "_key", "left_semi")
-        .groupBy(F.col("_key").alias("_kept_key"))
-        .agg(F.min(order).alias("_kept"))
-    )
+    counted = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.min(F.when(first.isNotNull(), order)).alias("_kept"))
+    kept = counted.where("_n > 1 AND _kept IS NOT NULL").select(F.struct(*keys, F.lit(0).alias("_slot")).alias("_kept_key"), "_kept")
     repeats = first.isNotNull() & F.col("_kept").isNotNull() & (order != F.col("_kept"))
     joined = keyed.join(kept, F.col("_key") == F.col("_kept_key"), "left")
-    return joined.select(*df.columns, repeats.alias(flag))
+    return joined.select(*df.columns, F.coalesce(repeats, F.lit(False)).alias(flag))
 
 
 def _as_number(df: DataFrame, column: str) -> Column:

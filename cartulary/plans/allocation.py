@@ -3,8 +3,9 @@
 Maximise the sum of priority times units, with units at most the capacity of each area,
 total cost at most the budget and a floor of spending per region. The cost is one value per
 region, so within a region money is best spent by priority, and across regions by priority
-per unit of cost. Two passes of running sums give the optimum of the relaxed problem; the
-whole-unit answer is within one unit's priority of it.
+per unit of cost. The cut of priority up to which money lasts is found by refining bins, once
+within each region and once over all; only areas at the cut are sorted. This is the optimum
+of the relaxed problem; the whole-unit answer is within one unit's priority of it.
 """
 
 from __future__ import annotations
@@ -14,8 +15,8 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartulary.operators.running import exact_median, with_running_total
-from cartulary.sources.storage import settle
+from cartulary.operators.running import exact_median, left_in_order
+from cartulary.sources.storage import drop_path, settle, stage
 
 # Fixed value: keeps areas of zero priority eligible for what is left.
 TINY = 1e-6
@@ -86,26 +87,23 @@ def allocate(
         }
     )
 
-    by_priority = [F.col("_priority").desc(), F.col(code).asc()]
-    floored = with_running_total(sized, "capacity", by_priority, "_upto", group=["region"])
+    sized, at = stage(sized, "sized")
     floors = region_floors(sized, budget, min_region_share)
-    first = F.greatest(
-        F.least(F.col("capacity"), F.col("floor_units") - (F.col("_upto") - F.col("capacity"))), F.lit(0)
-    )
+    turns = left_in_order(sized, "capacity", floors.withColumnRenamed("floor_units", "limit"), ["region"], "_priority", code, "_left")
+    first = F.greatest(F.least(F.col("capacity").cast("double"), F.col("_left")), F.lit(0.0)).cast("bigint")
     # settled: the spent total and the second pass must see the same first pass
     floored = settle(
-        floored.join(floors, "region", "left")
-        .withColumn("_first", first)
+        turns.withColumn("_first", first)
         .withColumn("_room_cost", (F.col("capacity") - F.col("_first")) * F.col("unit_cost"))
         .withColumn("_value", F.col("_priority") / F.col("unit_cost"))
+        .drop("_left")
     )
+    drop_path(areas.sparkSession, at)
 
-    left = F.lit(float(budget)) - F.coalesce(
-        floored.agg(F.sum(F.col("_first") * F.col("unit_cost")).alias("s")).scalar(), F.lit(0.0)
-    )
-    by_value = [F.col("_value").desc(), F.col(code).asc()]
-    ranked = with_running_total(floored, "_room_cost", by_value, "_spent")
-    spare = F.floor((left - (F.col("_spent") - F.col("_room_cost"))) / F.col("unit_cost"))
+    spent = F.coalesce(F.sum(F.col("_first") * F.col("unit_cost")), F.lit(0.0))
+    limit = floored.agg((F.lit(float(budget)) - spent).alias("limit")).withColumn("_all_areas", F.lit(0))
+    ranked = left_in_order(floored.withColumn("_all_areas", F.lit(0)), "_room_cost", limit, ["_all_areas"], "_value", code, "_left")
+    spare = F.floor(F.col("_left") / F.col("unit_cost"))
     second = F.least(F.col("capacity") - F.col("_first"), F.greatest(spare, F.lit(0)))
     units = (F.col("_first") + second).cast("bigint")
     return ranked.select(

@@ -15,7 +15,7 @@ from cartulary.plans.forecast import TreeSettings, feature_table, forecast
 from cartulary.plans.ingest import ingest
 from cartulary.plans.lake import Lake, Parameters
 from cartulary.plans.profiles import build_profiles, profiles_with_suppression, publish
-from cartulary.plans.refine import refine_contracts, refine_families, refine_persons, refine_references
+from cartulary.plans.refine import LOADS, refine
 from cartulary.sources.layouts import FEEDS
 from cartulary.sources.storage import drop_path, read_table, stage, write_version
 
@@ -33,10 +33,8 @@ def refine_all(
     today: date | None = None,
 ) -> None:
     pseudonyms = Pseudonyms(spark, key)
-    refine_references(spark, lake, run_id, parameters, today)
-    refine_families(spark, lake, run_id, pseudonyms, parameters)
-    refine_persons(spark, lake, run_id, pseudonyms, parameters)
-    refine_contracts(spark, lake, run_id, pseudonyms, parameters)
+    for load in LOADS.values():
+        refine(spark, lake, run_id, load, pseudonyms, parameters, today)
 
 
 def _written(spark: SparkSession, lake: Lake, step: Step, df: DataFrame) -> DataFrame:
@@ -121,5 +119,7 @@ def publish_profiles(
         counts = publish(profiles, table)
         seen = profiles_with_suppression(profiles).first()
         step.rows_out = seen.profiles
-        step.details.update(counts, profiles_with_suppression=seen.profiles_with_suppression)
+        step.details.update(
+            rows_inserted=counts["inserted"], rows_updated=counts["updated"], profiles_with_suppression=seen.profiles_with_suppression
+        )
     return counts

@@ -1,23 +1,31 @@
 """Parquet tables by path.
 
-Two kinds of table:
+Three kinds of table:
 
 * versioned (`write_version`): each full rewrite goes to `<table>/v=<n>/`. A version is
   visible once its `_SUCCESS` marker exists, so a reader never sees a half-written one
   and a job may read version n while it writes n + 1;
 * partitioned (`replace_partition`, `append`): plain directories, replaced one
-  partition at a time. Nothing here spans two tables atomically.
+  partition at a time;
+* keyed (`replace_folders`): rows lie in folders by key hash. `<table>/w=<n>/_folder=<b>/` holds
+  folder b as write n left it, and the versioned `<table>/manifest` names the write of each folder.
+  A merge adds a write of the folders it touched, then a manifest: readers see all of it or
+  nothing, and other folders are neither read nor copied.
+
+Each table has one writer. Nothing here spans two tables atomically.
 """
 
 from __future__ import annotations
 
+import json
 import re
 import tempfile
 import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
+from pyspark.sql.types import IntegerType, StructField, StructType
 
 
 def _files(spark: SparkSession, path: str):
@@ -96,10 +104,13 @@ def current_version(spark: SparkSession, table: str) -> int | None:
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
-    return current_version(spark, table) is not None
+    return is_keyed(spark, table) or current_version(spark, table) is not None
 
 
 def read_table(spark: SparkSession, table: str) -> DataFrame:
+    """The rows of a versioned or keyed table."""
+    if is_keyed(spark, table):
+        return read_folders(spark, table, read_manifest(spark, table)).drop(FOLDER)
     version = current_version(spark, table)
     if version is None:
         raise FileNotFoundError(f"no complete version of {table}")
@@ -118,6 +129,73 @@ def write_version(df: DataFrame, table: str, keep: int = 2) -> int:
     return number
 
 
+# -- keyed tables -------------------------------------------------------------------------
+
+FOLDER = "_folder"
+#: Folders of a new table. One is one task of a merge, so a table takes as many as its size asks for.
+KEY_FOLDERS = 64
+
+
+@dataclass(frozen=True)
+class Manifest:
+    """The write that each folder lies in, how many folders keys are dealt to, and the rows' schema."""
+
+    writes: dict[int, int]
+    folders: int
+    schema: StructType
+
+
+def folder_of(df: DataFrame, key: str, folders: int) -> Column:
+    """The folder of each row by its key; rows without a key are spread by their content."""
+    plain = [name for name, kind in df.dtypes if not kind.startswith(("map", "variant"))]
+    place = F.when(F.col(key).isNull(), F.xxhash64(*plain)).otherwise(F.xxhash64(key))
+    return F.pmod(place, F.lit(folders)).cast("int")
+
+
+def is_keyed(spark: SparkSession, table: str) -> bool:
+    return current_version(spark, f"{table}/manifest") is not None
+
+
+def read_manifest(spark: SparkSession, table: str) -> Manifest:
+    version = current_version(spark, f"{table}/manifest")
+    rows = spark.read.parquet(f"{table}/manifest/v={version}").collect()
+    return Manifest({r.folder: r.write for r in rows if r.folder is not None}, rows[0].folders, StructType.fromJson(json.loads(rows[0].schema)))
+
+
+def read_folders(spark: SparkSession, table: str, manifest: Manifest, folders: list[int] | None = None) -> DataFrame:
+    """The rows of some folders, or of all, with `_folder`."""
+    wanted = [b for b in (manifest.writes if folders is None else folders) if b in manifest.writes]
+    schema = StructType([*manifest.schema.fields, StructField(FOLDER, IntegerType())])
+    if not wanted:
+        return spark.createDataFrame([], schema)
+    paths = [f"{table}/w={manifest.writes[b]}/{FOLDER}={b}" for b in wanted]
+    placed = StructType([*schema.fields, StructField("w", IntegerType())])
+    return spark.read.schema(placed).option("basePath", table).parquet(*paths).select(*schema.fieldNames())
+
+
+def write_folders(df: DataFrame, table: str) -> int:
+    """Write rows with `_folder` beside the table's; they are not part of it before `replace_folders`."""
+    spark = df.sparkSession
+    number = 1 + max((int(p.rsplit("=", 1)[1]) for p in matching_paths(spark, f"{table}/w=*")), default=0)
+    df.write.partitionBy(FOLDER).parquet(f"{table}/w={number}")
+    return number
+
+
+def replace_folders(spark: SparkSession, table: str, number: int, folders: int, schema: StructType, keep: int = 2) -> None:
+    """Make the folders of write `number` part of the table, in place of older ones."""
+    written = [int(p.rsplit("=", 1)[1]) for p in matching_paths(spark, f"{table}/w={number}/{FOLDER}=*")]
+    before = read_manifest(spark, table).writes if is_keyed(spark, table) else {}
+    own = json.dumps(schema.jsonValue())
+    rows = [(None, None, folders, own), *[(b, w, folders, own) for b, w in {**before, **dict.fromkeys(written, number)}.items()]]
+    write_version(spark.createDataFrame(rows, "folder int, write int, folders int, schema string").coalesce(1), f"{table}/manifest", keep)
+    named = spark.read.option("basePath", f"{table}/manifest").parquet(*matching_paths(spark, f"{table}/manifest/v=*"))
+    used = {(r.write, r.folder) for r in named.select("write", "folder").distinct().collect()}
+    for path in matching_paths(spark, f"{table}/w=*/{FOLDER}=*"):
+        write, folder = re.search(rf"/w=(\d+)/{FOLDER}=(\d+)$", path).groups()
+        if (int(write), int(folder)) not in used:
+            drop_path(spark, path)
+
+
 # -- partitioned tables -------------------------------------------------------------------
 
 
@@ -139,15 +217,17 @@ def replace_partitions(df: DataFrame, table: str, column: str, values: list) ->
     Each keeps its old rows until the job commits.
     """
     spark = df.sparkSession
-    before = {value: matching_paths(spark, f"{table}/{column}={value}/part-*") for value in values}
+    files = f"{table}/{column}={{{','.join(map(str, values))}}}/part-*"
+    before = set(matching_paths(spark, files))
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(column)
         .parquet(table)
     )
-    for value, old in before.items():
-        if matching_paths(spark, f"{table}/{column}={value}/part-*") == old:
+    old = before.intersection(matching_paths(spark, files))
+    for value in values:
+        if any(f"/{column}={value}/" in path for path in old) or not path_exists(spark, f"{table}/{column}={value}"):
             replace_partition(df.limit(0), table, column, value)
 
 

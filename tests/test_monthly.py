@@ -51,7 +51,7 @@ def test_every_step_is_logged(spark, lake):
     assert steps[("bronze", "cadunico_family")] == 2 and steps[("silver", "cadunico_person")] == 2
     assert steps[("silver", "mcmv_beneficiaries")] == 1 and steps[("ml", "unit_allocation")] == 1
     family = runs.where("stage = 'silver' AND table_name = 'cadunico_family'").orderBy("reference_date").collect()
-    first, second = (json.loads(r.details)["merge"] for r in family)
+    first, second = (json.loads(r.details) for r in family)
     # 402 lines: negative income, unknown place, bad date, short row and the older copy are rejected
     assert (family[0].rows_in, family[0].rows_quarantined, first["rows_inserted"]) == (402, 5, 397)
     # 20 newer rows, three of them rejected in month one and so new now, and 10 new families
