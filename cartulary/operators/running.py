@@ -48,6 +48,8 @@ def with_rank(df: DataFrame, order: Sequence[Column], name: str) -> DataFrame:
 
 #: Bins of one refinement, and how often a range is refined.
 BINS, LEVELS = 4096, 2
+#: Rows of a group that may be sorted in one task.
+SORTED_ROWS = 1 << 20
 
 
 def _bin(value: Column, low: Column, high: Column) -> Column:
@@ -63,30 +65,26 @@ def _same(left: Sequence[str], right: Sequence[str]) -> Column:
     return match
 
 
-def _selected(df: DataFrame, group: Sequence[str], column: str, places: dict[str, Column]) -> DataFrame:
-    """`group` and one column for each place (a column over `_of`, the values in the group): the value there.
+def lower_medians(df: DataFrame, group: str, column: str, name: str) -> DataFrame:
+    """`group, name`: the exact lower middle of the non-null values of each group.
 
-    The counts of distinct values are made once. Twice the range that holds a place is cut into
-    bins and only the bin with the place kept; values are sorted within that bin alone.
+    The counts of distinct values are made once. Twice the range that holds the middle is cut into
+    bins and only the bin with the middle kept; values are sorted within that bin alone. Nothing
+    runs before the result is used.
     """
-    values = df.where(F.col(column).isNotNull()).groupBy(*group, column).agg(F.count(F.lit(1)).alias("_n"))
-    number, names = F.col(column).cast("double"), [f"_g{i}" for i in range(len(group))]
-    found = None
-    ends = values.groupBy(*[F.col(g).alias(n) for g, n in zip(group, names)]).agg(
-        F.min(number).alias("_low"), F.max(number).alias("_high"), F.sum("_n").alias("_of")
+    values = df.where(F.col(column).isNotNull()).groupBy(group, column).agg(F.count(F.lit(1)).alias("_n"))
+    number, match = F.col(column).cast("double"), F.col(group).eqNullSafe(F.col("_group"))
+    state = values.groupBy(F.col(group).alias("_group")).agg(
+        F.min(number).alias("_low"), F.max(number).alias("_high"), F.floor((F.sum("_n") + 1) / 2).alias("_place")
     )
-    for name, place in places.items():
-        state = ends.select(*names, "_low", "_high", place.alias("_place"))
-        for _ in range(LEVELS):
-            inside = values.join(state, _same(group, names)).where(number.between(F.col("_low"), F.col("_high")))
-            binned = inside.groupBy(*names, _bin(number, F.col("_low"), F.col("_high")).alias("_bin")).agg(
-                F.sum("_n").alias("_in"), F.min(number).alias("_low"), F.max(number).alias("_high"), F.first("_place").alias("_place")
-            )
-            state = _holding(binned, names, [F.col("_bin")], "_in").select(*names, "_low", "_high", (F.col("_place") - F.col("_before")).alias("_place"))
-        inside = values.join(state, _same(group, names)).where(number.between(F.col("_low"), F.col("_high")))
-        last = _holding(inside, names, [F.col(column)], "_n").select(*[F.col(n).alias(g) for n, g in zip(names, group)], F.col(column).alias(name))
-        found = last if found is None else found.join(last.select(*[F.col(g).alias(n) for g, n in zip(group, names)], name), _same(group, names)).drop(*names)
-    return found
+    for _ in range(LEVELS):
+        inside = values.join(state, match).where(number.between(F.col("_low"), F.col("_high")))
+        binned = inside.groupBy("_group", _bin(number, F.col("_low"), F.col("_high")).alias("_bin")).agg(
+            F.sum("_n").alias("_in"), F.min(number).alias("_low"), F.max(number).alias("_high"), F.first("_place").alias("_place")
+        )
+        state = _holding(binned, ["_group"], [F.col("_bin")], "_in").select("_group", "_low", "_high", (F.col("_place") - F.col("_before")).alias("_place"))
+    inside = values.join(state, match).where(number.between(F.col("_low"), F.col("_high")))
+    return _holding(inside, ["_group"], [F.col(column)], "_n").select(F.col("_group").alias(group), F.col(column).alias(name))
 
 
 def _holding(df: DataFrame, group: Sequence[str], order: Sequence[Column], counted: str) -> DataFrame:
@@ -96,55 +94,69 @@ def _holding(df: DataFrame, group: Sequence[str], order: Sequence[Column], count
     return summed.where((F.col("_upto") >= F.col("_place")) & (F.col("_before") < F.col("_place")))
 
 
-def lower_medians(df: DataFrame, group: str, column: str, name: str) -> DataFrame:
-    """`group, name`: the exact lower middle of the non-null values of each group."""
-    return _selected(df, [group], column, {name: F.floor((F.col("_of") + 1) / 2)})
-
-
 def exact_median(df: DataFrame, column: str) -> DataFrame:
-    """One row with the exact `median`; null when the column has no value."""
-    middles = {"_lower": F.floor((F.col("_of") + 1) / 2), "_upper": F.floor(F.col("_of") / 2) + 1}
-    found = _selected(df.select(F.lit(0).alias("_all"), column), ["_all"], column, middles)
-    return found.agg(((F.max("_lower") + F.max("_upper")) / 2).alias("median"))
+    """One row with the exact `median`; null when the column has no value.
+
+    Works on the distinct values and their counts, so equal values cost nothing.
+    """
+    histogram = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("_n"))
+    ranked = with_running_total(histogram, "_n", [F.col(column).asc()], "_upto")
+    total = histogram.agg(F.sum("_n").alias("t")).scalar()
+    low, high = F.floor((total + 1) / 2), F.floor(total / 2) + 1
+    holds = lambda place: (F.col("_upto") >= place) & (F.col("_upto") - F.col("_n") < place)
+    return ranked.agg(
+        (
+            (F.max(F.when(holds(low), F.col(column))) + F.max(F.when(holds(high), F.col(column)))) / 2
+        ).alias("median")
+    )
 
 
-def left_in_order(df: DataFrame, amount: str, limits: DataFrame, group: Sequence[str], value: str, code: str, name: str) -> DataFrame:
+def left_in_order(
+    df: DataFrame,
+    amount: str,
+    limits: DataFrame,
+    group: Sequence[str],
+    value: str,
+    code: str,
+    name: str,
+    sorted_rows: int = SORTED_ROWS,
+) -> DataFrame:
     """Adds `name`: what is left of the group's limit when the row's turn comes.
 
     Rows take their `amount` (not negative) by falling `value`, then rising `code` (numbers without nulls).
     `limits` has `group` and `limit`; a group without limit leaves nothing. Rows whose turn surely comes before
     the limit is reached have infinity, rows after it 0.
 
-    The place where a limit is reached is found by bins of values, then of codes among equal
-    values; only the rows of the last bin are sorted. The other rows are not shuffled. `df` is read
-    once for each refinement, so it should be cheap to read.
+    The place where a limit is reached is narrowed by bins of values, or of codes among equal
+    values, until at most `sorted_rows` of a group lie around it; only those are sorted. The other rows
+    are not shuffled. Each step is one aggregate over `df`, which should be cheap to read, and
+    settles one row for each group.
     """
     names = [f"_g{i}" for i in range(len(group))]
+    own = [F.col(g).alias(n) for g, n in zip(group, names)]
     by, at = F.col(value).cast("double"), F.col(code).cast("double")
-    own = limits.select(*[F.col(g).alias(n) for g, n in zip(group, names)], F.col("limit").cast("double").alias("_place"))
-    ends = [F.min(by).alias("_low"), F.max(by).alias("_high"), F.min(at).alias("_from_code"), F.max(at).alias("_to_code")]
-    state = df.groupBy(*[F.col(g).alias(n) for g, n in zip(group, names)]).agg(*ends, F.sum(amount).alias("_sum"))
-    state = state.alias("s").join(own.alias("o"), _same([f"s.{n}" for n in names], [f"o.{n}" for n in names])).select(
-        *[f"s.{n}" for n in names], "_low", "_high", "_from_code", "_to_code", "_sum", "_place"
-    )
-    # where the limit is never reached, or is nothing, there is no border
-    whole = state.select(*names, "_low", "_high", "_from_code", "_to_code", (F.col("_sum") <= F.col("_place")).alias("_all"), "_place").where("_place > 0")
-    border = whole.where("NOT _all").drop("_all")
+    ends = [
+        F.min(by).alias("_low"),
+        F.max(by).alias("_high"),
+        F.min(at).alias("_from_code"),
+        F.max(at).alias("_to_code"),
+        F.count(F.lit(1)).alias("_rows"),
+        F.sum(amount).alias("_in"),
+    ]
     here = by.between(F.col("_low"), F.col("_high")) & ((F.col("_low") < F.col("_high")) | at.between(F.col("_from_code"), F.col("_to_code")))
-    for level in range(LEVELS + 1):
-        tied = F.col("_low") == F.col("_high")
-        bins = _bin(-by, -F.col("_high"), -F.col("_low"))
-        if level == LEVELS:
-            bins = F.when(tied, _bin(at, F.col("_from_code"), F.col("_to_code"))).otherwise(0)
-        inside = df.join(border, _same(group, names)).where(here)
-        binned = inside.groupBy(*names, bins.alias("_bin")).agg(F.sum(amount).alias("_in"), *ends, F.first("_place").alias("_place"))
-        border = _holding(binned, names, [F.col("_bin")], "_in").select(
-            *names, "_low", "_high", "_from_code", "_to_code", (F.col("_place") - F.col("_before")).alias("_place")
-        )
-    cuts = whole.select(*names, "_all").alias("w").join(border.alias("b"), _same([f"w.{n}" for n in names], [f"b.{n}" for n in names]), "left").select(
-        *[f"w.{n}" for n in names], "_all", "_low", "_high", "_from_code", "_to_code", "_place"
-    )
-    placed = df.join(cuts, _same(group, names), "left")
+    bins = F.when(F.col("_low") < F.col("_high"), _bin(-by, -F.col("_high"), -F.col("_low"))).otherwise(_bin(at, F.col("_from_code"), F.col("_to_code")))
+
+    limited = limits.select(*own, F.col("limit").cast("double").alias("_place")).where("_place > 0")
+    border = settle(df.groupBy(*own).agg(*ends).join(limited, names).withColumn("_all", F.col("_in") <= F.col("_place")))
+    for _ in range(2 * LEVELS):
+        if (border.agg(F.max(F.when(~F.col("_all"), F.col("_rows")))).first()[0] or 0) <= sorted_rows:
+            break
+        inside = df.join(border.where("NOT _all").drop("_rows", "_in"), _same(group, names)).where(here)
+        binned = inside.groupBy(*names, bins.alias("_bin")).agg(*ends, F.first("_place").alias("_place"))
+        found = _holding(binned, names, [F.col("_bin")], "_in").withColumn("_place", F.col("_place") - F.col("_before")).withColumn("_all", F.lit(False))
+        border = settle(border.where("_all").unionByName(found.select(*border.columns)))
+
+    placed = df.join(border.drop("_rows", "_in"), _same(group, names), "left")
     earlier = (by > F.col("_high")) | ((by == F.col("_high")) & (F.col("_low") == F.col("_high")) & (at < F.col("_from_code")))
     turn = F.when(F.col("_all") | earlier, F.lit(float("inf"))).otherwise(0.0)
     on_border = F.coalesce(~F.col("_all") & here, F.lit(False))

@@ -225,9 +225,11 @@ def replace_partitions(df: DataFrame, table: str, column: str, values: list) ->
         .partitionBy(column)
         .parquet(table)
     )
-    old = before.intersection(matching_paths(spark, files))
+    after = matching_paths(spark, files)
+    name = lambda path: path.rsplit("/", 2)[1]
+    filled = {name(path) for path in after} - {name(path) for path in before.intersection(after)}
     for value in values:
-        if any(f"/{column}={value}/" in path for path in old) or not path_exists(spark, f"{table}/{column}={value}"):
+        if f"{column}={value}" not in filled:
             replace_partition(df.limit(0), table, column, value)
 
 

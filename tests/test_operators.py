@@ -7,8 +7,9 @@ from cartulary.operators.disclosure import leak_scan, suppress_small_cells
 from cartulary.operators.links import flag_exists, flag_repeats, newest_per_key
 from cartulary.operators.merge import RepeatedKey, merge_rows, newer_version, upsert
 from cartulary.operators.quality import WARNING, RejectionLimitExceeded, Rule, check
-from cartulary.operators.running import exact_median, with_rank, with_running_total
+from cartulary.operators.running import exact_median, left_in_order, lower_medians, with_rank, with_running_total
 from cartulary.sources import storage
+from cartulary.sources.storage import read_folders, read_manifest, read_table
 
 
 def test_quality_split(spark):
@@ -206,3 +207,51 @@ def test_leaks(spark):
         ("b", "known_identifier"): (1, 1),
         ("b", "document_shape"): (2, 2),
     }
+
+
+def test_left_in_order_by_hand(spark):
+    """Every bin width and the plain running sum agree, with many ties of value."""
+    rng = random.Random(6)
+    rows = [(f"g{i % 3}", rng.choice([0.0, 1.0, 2.5]) if i % 3 else rng.random() * 1e6, i, rng.randrange(0, 5)) for i in range(900)]
+    df = spark.createDataFrame(rows, "g string, v double, code int, amount int").repartition(4)
+    limits = spark.createDataFrame([("g0", 333.0), ("g1", 100.0), ("g2", 1e9)], "g string, limit double")
+    expected = {}
+    for g, limit in (("g0", 333), ("g1", 100), ("g2", 10**9)):
+        used = 0
+        for _, code, amount in sorted((-v, c, a) for k, v, c, a in rows if k == g):
+            expected[code] = min(amount, max(limit - used, 0))
+            used += amount
+    for most in (1000, 100, 1):
+        got = left_in_order(df, "amount", limits, ["g"], "v", "code", "left", sorted_rows=most).collect()
+        assert {r.code: min(r.amount, max(r.left, 0)) for r in got} == expected
+
+
+def test_lower_medians_by_hand(spark):
+    rng = random.Random(7)
+    rows = [(i % 5 or None, rng.choice([None, rng.randrange(10), rng.random() * 1e9])) for i in range(1000)] + [(77, None), (78, 3.0)]
+    df = spark.createDataFrame([(g, None if v is None else float(v)) for g, v in rows], "g int, v double")
+    by_group = {}
+    for g, v in rows:
+        if v is not None:
+            by_group.setdefault(g, []).append(float(v))
+    got = {r.g: r.m for r in lower_medians(df, "g", "v", "m").collect()}
+    assert got == {g: sorted(values)[(len(values) + 1) // 2 - 1] for g, values in by_group.items()}
+
+
+def test_merge_touches_only_its_folders(spark, tmp_path):
+    """Folders without an incoming key keep their files; rows without a key are kept and spread."""
+    table = str(tmp_path / "keyed")
+    first = spark.range(4000).select(F.when(F.col("id") % 4 > 0, F.col("id")).alias("k"), F.lit(1).alias("v"), F.col("id").alias("x"))
+    assert upsert(first, table, "k", newer_version("v"), folders=32) == {"rows_inserted": 4000, "rows_updated": 0}
+    before = read_manifest(spark, table)
+    nulls = read_folders(spark, table, before).where("k IS NULL").groupBy("_folder").count().collect()
+    assert len(nulls) > 16 and max(r["count"] for r in nulls) < 100
+    few = spark.createDataFrame([(1, 2, 10), (2, 1, 20), (None, 5, 30)], "k long, v int, x long")
+    assert upsert(few, table, "k", newer_version("v")) == {"rows_inserted": 1, "rows_updated": 1}
+    after = read_manifest(spark, table)
+    moved = {b for b in after.writes if after.writes[b] != before.writes.get(b)}
+    assert 1 <= len(moved) <= 3 and after.folders == 32
+    rows = read_table(spark, table)
+    assert rows.count() == 4001 and rows.where("k = 1").first().x == 10 and rows.where("k = 2").first().x == 2
+    assert rows.where("k IS NULL").count() == 1001
+    assert upsert(few.limit(0), table, "k", newer_version("v")) == {"rows_inserted": 0, "rows_updated": 0}
