@@ -78,23 +78,31 @@ def household_components(spark, folder):
 
 
 def areas(spark, folder) -> DataFrame:
-    """Nations as municipalities."""
-    nations = table(spark, folder, "nation").join(
-        table(spark, folder, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
+    """Nations as municipalities, and regions as areas that nothing is known of."""
+    regions = table(spark, folder, "region")
+    nations = table(spark, folder, "nation").join(regions, F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    empty = regions.select(
+        (F.col("r_regionkey") + 100).alias("municipality_code"),
+        F.concat("r_name", F.lit(" (rest)")).alias("municipality_name"),
+        F.lit("S0").alias("state"),
+        F.col("r_name").alias("region"),
+        F.lit(0).alias("households"),
     )
-    return nations.select(
+    known = nations.select(
         F.col("n_nationkey").alias("municipality_code"),
         F.col("n_name").alias("municipality_name"),
         F.concat(F.lit("S"), F.col("n_nationkey") % 8).alias("state"),
         F.col("r_name").alias("region"),
         (F.col("n_nationkey") * 40 + 300).alias("households"),
     )
+    return known.unionByName(empty)
 
 
 AREAS_SQL = """
 SELECT n_nationkey AS municipality_code, n_name AS municipality_name, 'S' || (n_nationkey % 8) AS state,
        r_name AS region, n_nationkey * 40 + 300 AS households
 FROM nation LEFT JOIN region ON r_regionkey = n_regionkey
+UNION ALL SELECT r_regionkey + 100, r_name || ' (rest)', 'S0', r_name, 0 FROM region
 """
 
 
@@ -148,8 +156,12 @@ def area_indicators(spark, folder):
 # -- contracts ----------------------------------------------------------------------------
 
 
+#: A family is the greatest value of each of these over all lines of an order.
+LINE_COLUMNS = ("l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
+
+
 def contract_tables(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Events as contracts, orders as persons, lines of an order as its family."""
+    """Events as contracts, orders as persons, all lines of an order as its family."""
     pseudonyms = Pseudonyms(spark, KEY)
     person = lambda name: pseudonyms.of(F.col(name).cast("string"), "cpf")
     contracts = table(spark, folder, "events").select(
@@ -167,9 +179,8 @@ def contract_tables(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame]:
         F.col("o_orderkey").alias("person_id"),
         F.col("o_orderdate").cast("date").alias("_reference_date"),
     )
-    first_line = F.min(F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
-                                "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"))
-    one = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(first_line.alias("r")).select("l_orderkey", "r.*")
+    most = [F.max(c).alias(c) for c in LINE_COLUMNS]
+    one = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(*most)
     homes = households(one).withColumnRenamed("l_orderkey", "family_id")
     return contracts, persons, homes
 
@@ -189,10 +200,7 @@ persons AS (
         FROM orders) WHERE n = 1),
 homes AS (
   SELECT l_orderkey AS family_id, total_income AS cadunico_income, deficit_component
-  FROM (SELECT * FROM ({CLASSIFIED_SQL.replace('FROM lineitem', '''FROM (
-          SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey,
-            l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax, l_returnflag, l_linestatus, l_shipdate) AS pos
-            FROM lineitem) WHERE pos = 1) AS lineitem''')}))),
+  FROM (SELECT * FROM ({CLASSIFIED_SQL.replace('FROM lineitem', f"FROM (SELECT l_orderkey, {', '.join(f'max({c}) AS {c}' for c in LINE_COLUMNS)} FROM lineitem GROUP BY l_orderkey) AS lineitem")}))),
 held AS (SELECT cpf_pseudo, count(*) AS contracts_per_cpf, count(DISTINCT program) AS programs_per_cpf
          FROM contracts WHERE cpf_pseudo IS NOT NULL GROUP BY cpf_pseudo),
 ceilings AS (SELECT * FROM (VALUES (1, 2850), (2, 4700), (3, 8600), (4, 12000)) c(income_band, ceiling))
