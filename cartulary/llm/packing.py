@@ -18,8 +18,11 @@ empty table gives no piece. Other columns are ignored.
 
 from __future__ import annotations
 
+import json
 import os
+import unicodedata
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -27,8 +30,25 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from cartulary.llm.fim import pieces
 from cartulary.sources.storage import stage
 
+#: The normalizer and pre-tokenizer under which a word's tokens don't depend on other words.
+BY_WORD = [
+    {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": "\\s+"}, "content": " "}, {"type": "Lowercase"}]},
+    {
+        "type": "Sequence",
+        "pretokenizers": [
+            {
+                "type": "Split",
+                "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"},
+                "behavior": "Removed",
+                "invert": True,
+            },
+            {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False},
+        ],
+    },
+]
 WINDOW, GRAINS, DEPTH, END = 2048, 32, 4, 1
 CACHE = 1_000_000
 STAGED = "doc_id long, part long, n long, n_full long, bin int, rank long, fine long, fine_start long, full_start long, ids binary"
@@ -36,9 +56,12 @@ PIECES = "doc_id long, start long, length long, doc_tokens long, sequence_id lon
 
 
 class Tokens:
-    """Ids of texts, two bytes each. White space always ends a token here, so each word is looked up once.
+    """Ids of texts, as little-endian integers of `width`.
 
-    The table of known words is emptied when it holds `CACHE` of them; results do not depend on it.
+    Where the tokenizer splits as `BY_WORD` says, white space always ends a token, so each word is looked up
+    once; new words of many texts are encoded in one string with a special token between them. The table
+    of known words is emptied when it holds `CACHE` of them; results do not depend on it. Texts
+    for any other tokenizer, or with special tokens in them, are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -46,42 +69,78 @@ class Tokens:
         from tokenizers import Tokenizer
 
         self.tokenizer, self.known = Tokenizer.from_file(path), {}
+        self.width = id_width(self.tokenizer)
+        specials = {i: t.content for i, t in self.tokenizer.get_added_tokens_decoder().items() if t.special}
+        self.end_id, self.end = max(specials.items(), default=(None, ""))
+        self.marked = all(t.startswith("<|") for t in specials.values())
+        rules = json.loads(self.tokenizer.to_str())
+        self.by_word = self.marked and self.end_id is not None and [rules["normalizer"], rules["pre_tokenizer"]] == BY_WORD
 
     def _plain(self, texts: list[str]) -> list[bytes]:
-        return [np.array(e.ids, "<u2").tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [np.array(e.ids, self.width).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, missing: set[str]) -> None:
-        """A full stop or comma after a letter is a token of its own."""
-        bare = {w[:-1] if len(w) > 1 and w[-1] in ".," and w[-2].isalpha() else w for w in missing} | {".", ","}
+        """A full stop or comma after a letter is a token of its own, if the letter stays one when normalised."""
+        bare = {w[:-1] if len(w) > 1 and w[-1] in ".," and ends_in_letter(w[:-1]) else w for w in missing} | {".", ","}
         new = [w for w in bare if w not in self.known]
-        self.known.update(zip(new, self._plain(new)))
+        for at in range(0, len(new), 4096):
+            part = new[at : at + 4096]
+            [encoded] = self.tokenizer.encode_batch_fast([self.end.join(part)], add_special_tokens=False)
+            ids = np.array(encoded.ids, np.int64)
+            ends = np.flatnonzero(ids == self.end_id).tolist()
+            data, size = ids.astype(self.width).tobytes(), np.dtype(self.width).itemsize
+            for word, begin, end in zip(part, [0, *(e + 1 for e in ends)], [*ends, len(ids)]):
+                self.known[word] = data[begin * size : end * size]
         for w in missing - bare:
             self.known[w] = self.known[w[:-1]] + self.known[w[-1]]
 
+    def many(self, texts: list[str]) -> list[bytes]:
+        if not self.by_word:
+            return self._plain(texts)
+        whole = {i for i, text in enumerate(texts) if "<|" in text}  # special tokens depend on the letters' case
+        split = [[] if i in whole else text.encode("utf-8", "replace").lower().decode("utf-8").replace("\n", " ").split(" ") for i, text in enumerate(texts)]
+        if len(self.known) > CACHE:
+            self.known.clear()
+        missing = set().union(*split).difference(self.known)
+        if missing:
+            self._learn(missing)
+        found = [b"".join(map(self.known.__getitem__, own)) for own in split]
+        for i, ids in zip(sorted(whole), self._plain([texts[i] for i in sorted(whole)])):
+            found[i] = ids
+        return found
+
     def __call__(self, text: str) -> bytes:
-        if "<|" in text:  # special tokens depend on the letters' case
-            return self._plain([text])[0]
-        own = text.encode("utf-8", "replace").lower().decode("utf-8").replace("\n", " ").split(" ")
-        found = list(map(self.known.get, own))
-        if None in found:
-            if len(self.known) > CACHE:
-                self.known.clear()
-            self._learn({w for w in own if w not in self.known})
-            found = list(map(self.known.__getitem__, own))
-        return b"".join(found)
+        return self.many([text])[0]
+
+
+@lru_cache(maxsize=1)
+def loaded(path: str) -> Tokens:
+    """One for all tasks that a Python worker runs."""
+    return Tokens(path)
+
+
+def ends_in_letter(word: str) -> bool:
+    last = word[-1]
+    return last.isalpha() and (last.isascii() or unicodedata.normalize("NFC", word).lower()[-1].isalpha())
+
+
+def id_width(tokenizer) -> str:
+    """The least type that holds all ids."""
+    return "<u2" if max(tokenizer.get_vocab(with_added_tokens=True).values(), default=0) < 1 << 16 else "<u4"
 
 
 def _tokenised(docs: DataFrame, path: str, window: int, grain: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens, end = Tokens(path), np.array([END], "<u2").tobytes()
+        tokens = loaded(path)
+        end, size = np.array([END], tokens.width).tobytes(), np.dtype(tokens.width).itemsize
         part, ranks, fine_sum, full_sum = TaskContext.get().partitionId(), [0] * (window // grain), 0, 0
         names = [f.split()[0] for f in STAGED.split(", ")]
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                rows = []
-                for doc_id, text in zip(*(c.to_pylist() for c in batch.slice(at, 512).columns)):
-                    ids = tokens(text or "") + end
-                    n = len(ids) // 2
+            for piece in pieces(batch, "text"):
+                rows, (doc_ids, texts) = [], (c.to_pylist() for c in piece.columns)
+                for doc_id, ids in zip(doc_ids, tokens.many([text or "" for text in texts])):
+                    ids += end
+                    n = len(ids) // size
                     n_full, rest = divmod(n, window)
                     b, fine = divmod(rest, grain)
                     rows.append((doc_id, part, n, n_full, b, ranks[b], fine, fine_sum, full_sum, ids))
@@ -199,7 +258,9 @@ class Plan:
 
 def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, grains: int = GRAINS, depth: int = DEPTH) -> DataFrame:
     """One row per piece; `ids` are unsigned little-endian 32-bit ids. `tokenizer`: path of its file on every machine."""
-    grain = window // grains
+    from tokenizers import Tokenizer
+
+    grain, width = window // grains, id_width(Tokenizer.from_file(tokenizer))
     staged, _ = stage(_tokenised(docs, tokenizer, window, grain), "tokens")
     amounts = staged.groupBy("part", "bin").agg(F.count("*").alias("pieces"), F.sum("fine").alias("fine"), F.sum("n_full").alias("full"))
     kinds = F.array(F.struct(F.col("bin").alias("kind"), F.col("pieces").alias("amount")), F.struct(F.lit(grains).alias("kind"), F.col("fine").alias("amount")), F.struct(F.lit(grains + 1).alias("kind"), F.col("full").alias("amount")))
@@ -217,7 +278,7 @@ def pack(docs: DataFrame, tokenizer: str, window: int = WINDOW, grains: int = GR
             for at in range(0, batch.num_rows, 256):
                 rows = []
                 for r in batch.slice(at, 256).to_pylist():
-                    ids, before, n = np.frombuffer(r["ids"], "<u2").astype("<u4"), r["before"], r["n"]
+                    ids, before, n = np.frombuffer(r["ids"], width).astype("<u4"), r["before"], r["n"]
                     cuts = [(before[grains + 1] + r["full_start"] + i, 0, window) for i in range(r["n_full"])]
                     if b := r["bin"]:
                         rank = before[b] + r["rank"]

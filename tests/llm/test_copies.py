@@ -228,9 +228,9 @@ def test_block_hashes_follow_lines():
     begins = np.cumsum([0, *map(len, data)])[:-1]
     got = lines.block_hashes(np.frombuffer(b"".join(data), np.uint8), begins)
     plain = [(i, n, re.sub("[0-9]", "0", " ".join(words(line)))) for i, t in enumerate(texts) for n, line in enumerate(t.split("\n")) if len(words(line)) >= lines.LEAST]
-    assert list(zip(got[0].tolist(), got[1].tolist())) == [x[:2] for x in plain] and len(plain) == 7
+    assert list(zip(got[0].tolist(), got[1].tolist())) == [x[:2] for x in plain] and len(plain) == 9
     digests = [tuple(x) for x in got[2].tolist()]
-    assert all((digests[i] == digests[j]) == (plain[i][2] == plain[j][2]) for i, j in combinations(range(7), 2))
+    assert all((digests[i] == digests[j]) == (plain[i][2] == plain[j][2]) for i, j in combinations(range(9), 2))
     own = {w: int(h) for _, _, line in plain for w in line.split(" ") for h in lines.line_hashes(w, 1)[2]}  # one word's SimHash is its hash
     for (_, _, line), sim in zip(plain, got[3].tolist()):
         kinds = [own[w] for w in set(line.split(" "))]

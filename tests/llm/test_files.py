@@ -3,6 +3,7 @@
 import gzip
 import hashlib
 import io
+import random
 import zlib
 
 import numpy as np
@@ -113,3 +114,22 @@ def test_damage_is_found():
         warc.parsed(plain.replace(b"payload\r", b"pAyload\r"))
     with pytest.raises(ValueError, match="bytes long"):
         warc.parsed(plain[:-1])
+
+
+def test_ids_of_words_of_all_scripts():
+    """Word by word and in whole texts: letters that come apart when normalised, marks, several stops, random strings."""
+    from unicodedata import category
+
+    from tokenizers import Tokenizer
+
+    tokens, tokenizer = packing.Tokens(PATH), Tokenizer.from_file(PATH)
+    assert tokens.by_word and tokens.width == "<u2"
+    rng = random.Random(5)
+    chars = [chr(c) for c in range(32, 0x2FFFF) if category(chr(c))[0] in "LNPMSZ"]
+    words = ["\u0130.", "a\u0130,", "\u09b9\u09df,", "\u09ac\u09dc.", "\u0932\u095c.", "e\u0301.", "x,.", "a..", "it's,", "", "\t.", "<|x", "\u00e9.", "\u65e5."]
+    words += ["".join(rng.choices(chars, k=rng.randrange(1, 5))) + rng.choice([".", ",", "", ".a"]) for _ in range(3000)]
+    texts = words + [" ".join(rng.choices(words, k=6)) for _ in range(500)]
+    want = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(x, "<u2").tolist() for x in tokens.many(texts)] == want
+    tokens.by_word = False
+    assert [np.frombuffer(x, "<u2").tolist() for x in tokens.many(texts)] == want
