@@ -74,6 +74,18 @@ def row_key(*columns: str) -> Column:
     return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\x00")) for c in columns])
 
 
+def carried(df: DataFrame, *inputs: str) -> DataFrame:
+    """The columns an operator reads, and the caller's others as one struct: no name of theirs meets one of the operator's own."""
+    others = [df[c] for c in df.columns if c not in inputs] or [F.lit(0).alias("none")]
+    return df.select(F.struct(*others).alias("_others"), *inputs)
+
+
+def given_back(out: DataFrame, columns: list[str], inputs: tuple[str, ...], results: tuple[str, ...]) -> DataFrame:
+    """The caller's `columns` in their order, the inputs as `out` has them, then the results; those named like a result are replaced by it."""
+    own = [F.col(c) if c in inputs else F.col("_others")[c].alias(c) for c in columns if c not in results]
+    return out.select(*own, *results)
+
+
 def add_columns(df: DataFrame, function: Callable[[pa.RecordBatch], list], fields: str) -> DataFrame:
     """`df` plus the Arrow columns that `function` makes of each batch; same-named ones are replaced."""
     added = StructType.fromDDL(fields)

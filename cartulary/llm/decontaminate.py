@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartulary.llm.common import WORD, add_columns, lower_ascii, row_key, shipped, words
+from cartulary.llm.common import WORD, add_columns, carried, given_back, lower_ascii, row_key, shipped, words
 from cartulary.sources.storage import stage
 
 SPAN = 13
@@ -111,7 +111,7 @@ def scan_benchmark(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, bloc
     first, second = next(blocks), next(blocks, None)
     if second is None:
         return _scanned(docs, first, span)
-    keyed = docs.drop("n_words", "hit_words", "hit_items").withColumn("_row", row_key("doc_id", "text"))
+    keyed = carried(docs, "doc_id", "text").withColumn("_row", row_key("doc_id", "text"))
     texts = keyed.select("_row", "text").dropDuplicates(["_row"])
     found = None
     for items in chain([first, second], blocks):
@@ -123,7 +123,8 @@ def scan_benchmark(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, bloc
     )
     counted = add_columns(keyed, lambda b: [pa.array([len(words(t)) for t in b.column("text").to_pylist()], pa.int64())], "n_words long")
     nothing = {"hit_words": "array<int>", "hit_items": "array<long>"}
-    return counted.join(merged, "_row", "left").withColumns({c: F.coalesce(c, F.array().cast(t)) for c, t in nothing.items()}).drop("_row")
+    out = counted.join(merged, "_row", "left").withColumns({c: F.coalesce(c, F.array().cast(t)) for c, t in nothing.items()})
+    return given_back(out, docs.columns, ("doc_id", "text"), ("n_words", "hit_words", "hit_items"))
 
 
 def judged(scanned: DataFrame) -> DataFrame:

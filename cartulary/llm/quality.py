@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cartulary.llm.common import row_key
+from cartulary.llm.common import carried, given_back, row_key
 
 SPACE = r"[\x20\x09-\x0D]+"
 LEAST, SHARE, KEEP = 10, 0.005, 0.5
@@ -74,11 +74,12 @@ def frequent_lines(docs: DataFrame, host: str, text: str, least: int = LEAST, sh
 
 def assess(docs: DataFrame, host: str = "source", text: str = "text", least: int = LEAST, share: float = SHARE, keep: float = KEEP) -> DataFrame:
     """`docs` without the text, with the counts, line_chars, removed_chars, base_failed and kept."""
-    keyed = docs.drop(*RESULTS).withColumns({"_text": F.coalesce(F.col(text).cast("string"), F.lit("")), "_row": row_key("doc_id", host, text)})
+    keyed = carried(docs, "doc_id", host, text).withColumns({"_text": F.coalesce(F.col(text).cast("string"), F.lit("")), "_row": row_key("doc_id", host, text)})
     often = frequent_lines(docs, host, text, least, share)
     lines = keyed.select("_row", F.coalesce(F.col(host).cast("string"), F.lit("\x00")).alias("host"), F.posexplode(F.transform(lines_of(F.col("_text")), lambda x: F.struct(F.xxhash64(normal_line(x)).alias("line"), F.length(x).alias("chars")))).alias("pos", "x"))
     hit = lines.select("_row", "host", "pos", "x.line", "x.chars").join(often, ["host", "line"], "left_semi")
     removed = hit.dropDuplicates(["_row", "pos"]).groupBy("_row").agg(F.sum("chars").alias("removed_chars"))
     counted = base_counts(keyed.drop(text), "_text").withColumn("line_chars", F.aggregate(lines_of(F.col("_text")), F.lit(0).cast("long"), lambda a, x: a + F.length(x))).drop("_text")
     out = counted.join(removed, "_row", "left").withColumn("removed_chars", F.coalesce("removed_chars", F.lit(0).cast("long"))).drop("_row")
-    return out.withColumn("kept", ~F.col("base_failed") & (F.col("line_chars") - F.col("removed_chars") >= F.lit(keep) * F.col("line_chars")))
+    out = out.withColumn("kept", ~F.col("base_failed") & (F.col("line_chars") - F.col("removed_chars") >= F.lit(keep) * F.col("line_chars")))
+    return given_back(out, [c for c in docs.columns if c != text], ("doc_id", host), RESULTS)

@@ -81,13 +81,62 @@ def op4_minhash(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "class_id", "n_in_class", F.col("doc_id").eqNullSafe(F.col("class_id")).alias("kept"))
 
 
-@query()
+def _level_sql(name: str, unit: str, above: str | None) -> str:
+    """Posterior of one level: units of `unit`, each shrunk to its parent by the strength that moments give."""
+    parent = f"(SELECT rate FROM {above} p WHERE p.{above} = max(h.{above}))" if above else "(SELECT rate FROM overall)"
+    return f"""
+{name}_units AS (SELECT h.{unit} AS {name}, sum(n) AS n, sum(bad) AS bad, {parent} AS parent FROM hosts h GROUP BY h.{unit}),
+{name}_moments AS (
+  SELECT sum(n * (bad / n - parent) ** 2) AS b, sum(parent * (1 - parent)) AS w, sum(n * parent * (1 - parent)) AS m FROM {name}_units),
+{name}_strength AS (
+  SELECT CASE WHEN coalesce(m, 0) = 0 OR m <= w THEN 10.0 ELSE 1 / least(greatest((b - w) / (m - w), 1e-4), 0.5) - 1 END AS s FROM {name}_moments),
+{name} AS (
+  SELECT {name}, rate, rate - 1.645 * sqrt(rate * (1 - rate) / (weight + 1)) AS low
+  FROM (SELECT {name}, (s * parent + bad) / (s + n) AS rate, s + n AS weight FROM {name}_units, {name}_strength))"""
+
+
+OP5_SQL = rf"""
+WITH own AS (
+  SELECT page_id, translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+    regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages)),
+ruled AS (
+  SELECT *, CASE
+    WHEN ('.' || host) LIKE '%.example.org' AND starts_with(path, '/en/1') THEN ['example.org/en/1', 'block']
+    WHEN ('.' || host) LIKE '%.example.org' AND starts_with(path, '/es/') THEN ['example.org/es/', 'block']
+    WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/fr/') THEN ['com/fr/', 'allow']
+    WHEN ('.' || host) LIKE '%.com' AND starts_with(path, '/de/') THEN ['com/de/', 'block']
+    WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/') THEN ['org/', 'allow'] END AS fits
+  FROM own),
+labelled AS (
+  SELECT host, greatest(toxic, 1 - quality) AS bad FROM own JOIN labels ON page_id = doc_id
+  WHERE host <> '' AND greatest(toxic, 1 - quality) IS NOT NULL),
+split AS (
+  SELECT host, string_split(host, '.') AS l, array_to_string(list_slice(string_split(host, '.'), greatest(len(string_split(host, '.')) - 1, 1), 99), '.') AS two
+  FROM (SELECT DISTINCT host FROM own)),
+units AS (
+  SELECT host, CASE WHEN two IN {urls.LONG_SUFFIXES} THEN two ELSE l[len(l)] END AS suffix,
+    CASE WHEN two IN {urls.LONG_SUFFIXES} THEN array_to_string(list_slice(l, greatest(len(l) - 2, 1), 99), '.') ELSE two END AS domain FROM split),
+hosts AS (SELECT host, suffix, domain, count(*)::DOUBLE AS n, sum(bad)::DOUBLE AS bad FROM labelled JOIN units USING (host) GROUP BY ALL),
+overall AS (SELECT CASE WHEN count(*) = 0 THEN 0.1 ELSE (sum(bad) + 0.1) / (sum(n) + 1) END AS rate FROM hosts),
+{_level_sql("suffix", "suffix", None)},{_level_sql("domain", "domain", "suffix")},{_level_sql("host", "host", "domain")}
+SELECT page_id, r.host, path, fits[1] AS rule,
+  coalesce(fits[2], CASE WHEN coalesce(host.low, domain.low, suffix.low, 0) > 0.3 THEN 'block' ELSE 'allow' END) AS verdict,
+  round(coalesce(host.rate, domain.rate, suffix.rate, (SELECT rate FROM overall)), 9) AS bad_rate,
+  round(coalesce(host.low, domain.low, suffix.low, 0), 9) AS bad_low
+FROM ruled r JOIN units USING (host) LEFT JOIN host ON host.host = r.host LEFT JOIN domain ON domain.domain = units.domain
+  LEFT JOIN suffix ON suffix.suffix = units.suffix
+"""
+
+
+@query(OP5_SQL)
 def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     """The labelled pages are those whose page_id is a doc_id of labels; toxic or of quality 0 is bad."""
     pages = _table(spark, folder, "pages").select("page_id", "url")
     labels = _table(spark, folder, "labels").select("doc_id", F.greatest(F.col("toxic"), 1 - F.col("quality")).alias("bad"))
     labelled = pages.join(labels, F.col("page_id") == F.col("doc_id")).select("url", "bad")
-    return urls.judge(pages, labelled).select("page_id", "host", "path", "rule", "verdict", "bad_rate", "bad_low")
+    posterior = [F.round(c, 9).alias(c) for c in ("bad_rate", "bad_low")]
+    return urls.judge(pages, labelled).select("page_id", "host", "path", "rule", "verdict", *posterior)
 
 
 @query()
@@ -127,7 +176,34 @@ def op9_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "text", "n_lines", "removed_lines")
 
 
-@query()
+OP10_SQL = r"""
+WITH own AS (SELECT row_number() OVER () AS r, doc_id, coalesce(source, chr(0)) AS host, coalesce(text, '') AS t FROM documents),
+split AS (
+  SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w,
+    list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines FROM own),
+windows AS (SELECT r, i, w[i] AS a, w[i + 1] AS b, w[i + 2] AS c FROM (SELECT r, w, unnest(range(1, len(w) - 1)) AS i FROM split WHERE len(w) >= 3)),
+again AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, a, b, c) AS n FROM windows) WHERE n > 1),
+covered AS (SELECT r, count(DISTINCT place) AS n FROM (SELECT r, unnest([i, i + 1, i + 2]) AS place FROM again) GROUP BY r),
+each AS (SELECT r, host, unnest(lines) AS line FROM split),
+normal AS (SELECT r, host, line, trim(regexp_replace(regexp_replace(lower(line), '[0-9]+', '0', 'g'), '[\x20\x09-\x0D]+', ' ', 'g')) AS x FROM each),
+often AS (
+  SELECT host, x FROM (SELECT host, x, count(DISTINCT r) AS n FROM normal GROUP BY ALL) JOIN (SELECT host, count(*) AS docs FROM own GROUP BY host) USING (host)
+  WHERE n > 10 AND n > 0.005 * docs),
+removed AS (SELECT r, sum(length(line)) AS n FROM normal SEMI JOIN often USING (host, x) GROUP BY r),
+counted AS (
+  SELECT r, doc_id, len(w) AS n_words, length(coalesce(array_to_string(w, ''), '')) AS word_chars, length(regexp_replace(t, '[^#*$%&|<>]', '', 'g')) AS n_symbols,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, length(coalesce(array_to_string(lines, ''), '')) AS line_chars FROM split),
+judged AS (
+  SELECT c.*, coalesce(v.n, 0) AS n_repeat_words, coalesce(g.n, 0) AS removed_chars, n_words < 50 OR 100 * coalesce(v.n, 0) > 50 * n_words AS base_failed
+  FROM counted c LEFT JOIN covered v USING (r) LEFT JOIN removed g USING (r))
+SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
+  n_repeat_words::BIGINT AS n_repeat_words, base_failed, NOT base_failed AND line_chars - removed_chars >= 0.5 * line_chars AS kept,
+  line_chars::BIGINT AS line_chars, removed_chars::BIGINT AS removed_chars
+FROM judged
+"""
+
+
+@query(OP10_SQL)
 def op10_quality(spark: SparkSession, folder: str) -> DataFrame:
     found = quality.assess(_table(spark, folder, "documents").select("doc_id", "source", "text"))
     return found.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "line_chars", "removed_chars")

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cartulary.llm.common import add_columns, row_key
+from cartulary.llm.common import add_columns, carried, given_back, row_key
 
 LEAST, BITS, MOST, RUN = 16, 5, 256, 100
 NOBODY = (1 << 63) - 1
@@ -80,8 +80,8 @@ def remove_repeats(docs: DataFrame, run: int = RUN) -> DataFrame:
     all_chunks = chunks(docs)
     repeated = all_chunks.groupBy("d1", "d2").agg(F.count("*").alias("n"), F.min("doc").alias("keeper")).where("n > 1").drop("n")
     found = all_chunks.join(repeated, ["d1", "d2"])
-    own = found.groupBy("row").agg(F.collect_list(F.struct("start", "size", "d1", "d2", (F.col("doc") == F.col("keeper")).alias("own"))).alias("_found"))
-    joined = docs.drop("n_removed", "removed").withColumn("_row", row_key("doc_id", "text")).join(own.withColumnRenamed("row", "_row"), "_row", "left")
+    own = found.groupBy("row").agg(F.collect_set(F.struct("start", "size", "d1", "d2", (F.col("doc") == F.col("keeper")).alias("own"))).alias("_found"))
+    joined = carried(docs, "doc_id", "text").withColumn("_row", row_key("doc_id", "text")).join(own.withColumnRenamed("row", "_row"), "_row", "left")
 
     def cut(batch: pa.RecordBatch) -> list:
         texts, removed = [], []
@@ -97,7 +97,8 @@ def remove_repeats(docs: DataFrame, run: int = RUN) -> DataFrame:
 
     out = add_columns(joined, cut, "_cut string, removed array<struct<start:int,end:int>>")
     n_removed = F.aggregate("removed", F.lit(0), lambda a, x: a + x["end"] - x["start"]).cast("long")
-    return out.select(*[F.col("_cut").alias(c) if c == "text" else F.col(c) for c in docs.columns if c not in ("n_removed", "removed")], n_removed.alias("n_removed"), "removed")
+    out = out.withColumns({"text": F.col("_cut"), "n_removed": n_removed})
+    return given_back(out, docs.columns, ("doc_id", "text"), ("n_removed", "removed"))
 
 
 def _spans(found: list[dict], run: int) -> list[tuple[int, int]]:

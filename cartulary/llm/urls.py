@@ -3,7 +3,8 @@
 Reputation is empirical Bayes over labelled pages: the rate of bad pages is shrunk from all pages
 to the public suffix, the registered domain and the host. At each level the units' rates follow a
 beta distribution around their parent's rate; its strength comes from the spread of the units by
-the method of moments. A page is blocked when the lower bound of its host's posterior is above
+the method of moments, within limits: the overlap of units is taken as 1e-4 to 0.5, and a strength of
+10 pages is assumed where the moments give none. A page is blocked when the lower bound of its host's posterior is above
 `limit`. A host without labelled pages takes its domain's rate, and so on up.
 
 Counts combine before the shuffle, one aggregate per level on the one below; pages are joined to
@@ -11,7 +12,7 @@ hosts, so a host with a third of the pages is a skewed join that adaptive execut
 the sums of a level go to the driver.
 
 Null urls and urls without `://` have an empty host and path, match no rule and are judged as an
-unknown host. Null outcomes don't count. Without labelled pages the rate is `PRIOR`. Repeated
+unknown host; their labels count for no host. Of equally long rules that fit the first given wins. Null outcomes don't count. Without labelled pages the rate is `PRIOR`. Repeated
 rows are judged alike; a url's labels count as often as they are given.
 """
 
@@ -20,6 +21,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from cartulary.llm.common import carried, given_back
+from cartulary.sources.storage import stage
+
 # The rules of the filter (host, path, verdict).
 RULES = (
     ("org", "/", "allow"),
@@ -32,6 +36,7 @@ RULES = (
 LONG_SUFFIXES = ("co.uk", "org.uk", "ac.uk", "com.au", "com.br", "co.jp", "co.in", "co.nz", "co.za")
 LIMIT, SURENESS, PRIOR = 0.3, 1.645, 0.1
 LEVELS = ("suffix", "domain", "host")
+RESULTS = ("host", "path", "rule", "verdict", "bad_rate", "bad_low")
 
 
 def _after_scheme(url: Column) -> Column:
@@ -51,7 +56,7 @@ def path_of(url: Column) -> Column:
 def rule_of(host: Column, path: Column, rules: tuple = RULES) -> Column:
     """The longest rule that fits, with its verdict; of equally long ones the first given."""
     found = F.lit(None).cast("struct<rule string, verdict string>")
-    for own, start, verdict in sorted(rules, key=lambda r: len(r[0] + r[1])):
+    for own, start, verdict in sorted(reversed(rules), key=lambda r: len(r[0] + r[1])):
         fits = ((host == own) | host.endswith("." + own)) & path.startswith(start)
         found = F.when(fits, F.struct(F.lit(own + start).alias("rule"), F.lit(verdict).alias("verdict"))).otherwise(found)
     return found
@@ -77,8 +82,8 @@ def strength(units: DataFrame) -> float:
 
 def reputation(labelled: DataFrame) -> tuple[DataFrame, dict[str, DataFrame], float]:
     """Posterior by host, and by level for hosts without labels. labelled: host, bad (0 or 1)."""
-    known = labelled.where("bad is not null")
-    hosts = known.groupBy("host").agg(F.count("*").alias("n"), F.sum("bad").alias("bad")).withColumns(units_of(F.col("host")))
+    known = labelled.where("bad is not null and host <> ''")
+    hosts, _ = stage(known.groupBy("host").agg(F.count("*").alias("n"), F.sum("bad").alias("bad")).withColumns(units_of(F.col("host"))), "hosts")
     total = hosts.agg(F.sum("n").alias("n"), F.sum("bad").alias("bad")).first()
     overall = (total.bad + PRIOR) / (total.n + 1) if total.n else PRIOR
     levels: dict[str, DataFrame] = {}
@@ -97,7 +102,7 @@ def reputation(labelled: DataFrame) -> tuple[DataFrame, dict[str, DataFrame], fl
 
 def judge(pages: DataFrame, labelled: DataFrame, rules: tuple = RULES, limit: float = LIMIT) -> DataFrame:
     """`pages` with host, path, rule, verdict and posterior; labelled: url, bad (0, 1 or null). Same-named columns are replaced."""
-    own = pages.drop("host", "path", "rule", "verdict", "bad_rate", "bad_low").withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
+    own = carried(pages, "url").withColumns({"host": host_of(F.col("url")), "path": path_of(F.col("url"))})
     _, levels, overall = reputation(labelled.select(host_of(F.col("url")).alias("host"), F.col("bad").cast("int").alias("bad")))
     units = units_of(F.col("host"))
     own = own.withColumns({"_suffix": units["suffix"], "_domain": units["domain"], "_host": F.col("host"), "_rule": rule_of(F.col("host"), F.col("path"), rules)})
@@ -107,4 +112,4 @@ def judge(pages: DataFrame, labelled: DataFrame, rules: tuple = RULES, limit: fl
     low = F.coalesce("_host_low", "_domain_low", "_suffix_low", F.lit(0.0))
     verdict = F.coalesce(F.col("_rule.verdict"), F.when(low > limit, F.lit("block")).otherwise(F.lit("allow")))
     out = own.withColumns({"rule": F.col("_rule.rule"), "verdict": verdict, "bad_rate": rate, "bad_low": low})
-    return out.drop("_rule", *[f"_{x}{y}" for x in LEVELS for y in ("", "_rate", "_low")])
+    return given_back(out, pages.columns, ("url",), RESULTS)
