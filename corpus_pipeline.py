@@ -17,26 +17,31 @@ ORACLE_SQL = None
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Documents that the classifier calls toxic go. Null and empty texts are scored like any other; repeated rows go or stay together."""
     model = toxicity.fit(docs, spark.read.parquet(f"{folder}/labels.parquet").where(~toxicity.held_out()))
     return toxicity.score(docs, model).where("predicted = 0").select(docs.columns)
 
 
 def drop_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
-    """Documents whose every line stands elsewhere go; n_chars follows the text."""
+    """Documents whose every line stands elsewhere go; n_chars follows the text. Null and empty texts lose no line and stay."""
     found = lines.dedup_lines(docs)
     kept = found.where("size(removed_lines) = 0 or text rlike '[^\\\\s]'").select(docs.columns)
     return kept.withColumn("n_chars", F.when(F.col("text").isNotNull(), F.length("text").cast("long")).otherwise(F.col("n_chars")))
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """One document of each class stays, that of the smallest doc_id. Null and empty texts are classes of their own kind; of rows
+    that tie in id and text one stays."""
     return minhash.one_of_each(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Contaminated documents go. Null and empty texts have no words and stay; repeated rows go or stay together."""
     return decontaminate.remove_documents(docs, spark.read.parquet(f"{folder}/benchmark.parquet"))
 
 
 def pack(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
+    """Pieces of all documents in sequences. A null or empty text is one piece, its end id; repeated rows are packed as often as they occur."""
     import public_tokenizers
 
     pieces = packing.pack(docs, public_tokenizers.path("word_bpe_49k.json"))
