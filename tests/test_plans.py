@@ -172,19 +172,18 @@ def test_missing_priority_takes_the_median(spark):
 # -- forecast -----------------------------------------------------------------------------
 
 
-def forecast_frames(spark, n=120, states=8):
+def forecast_frames(spark, sizes=(60, 45, 40, 30, 20, 10, 5)):
+    """States of unequal size; the target falls and rises again with the rate, which no line follows."""
     rng = random.Random(1)
     areas, precarious, deficit = [], [], []
-    for i in range(n):
-        rate = rng.uniform(0.05, 0.6)
-        crowd = rng.uniform(0, 0.2)
-        areas.append((i, f"M{i}", f"S{i % states}", "N", 1000 + i, 5000 + 10 * i))
-        rates = {f"{k}_rate": rng.uniform(0, 0.3) for k in (*COMPONENTS, *INADEQUACIES)}
-        rates["rented_overcrowding_rate"] = crowd
-        precarious.append((i, 400 + i, rate, *rates.values(), None if i == 3 else 500.0 + i, "x"))
-        if i != 5:
-            deficit.append((i, 2022, int((1000 + i) * (0.02 + 0.4 * rate + 0.8 * crowd * (rate > 0.3)))))
-            deficit.append((i, 2019, 1))
+    for i in range(sum(sizes)):
+        state = next(k for k in range(len(sizes)) if i < sum(sizes[: k + 1]))
+        rate, households = rng.uniform(0, 0.6), 2000 + i
+        areas.append((i, f"M{i}", f"S{state}", "N", households, 3 * households))
+        noise = [rng.uniform(0, 0.3) for _ in (*COMPONENTS, *INADEQUACIES)]
+        precarious.append((i, 700, rate, *noise, None if i == 4 else 800.0 - i, "x"))
+        if i != 17:
+            deficit += [(i, 2021, int(households * (0.02 + 0.8 * abs(rate - 0.3)))), (i, 2018, 1)]
     kinds = ", ".join(f"{k}_rate double" for k in (*COMPONENTS, *INADEQUACIES))
     return (
         spark.createDataFrame(
@@ -201,14 +200,14 @@ def forecast_frames(spark, n=120, states=8):
 
 def test_forecast(spark):
     data = feature_table(*forecast_frames(spark)).cache()
-    assert data.count() == 120 and set(FEATURES) <= set(data.columns)
+    assert data.count() == 210 and set(FEATURES) <= set(data.columns)
     assert data.where("relative_deficit IS NULL").count() == 1
     result = forecast(data, TreeSettings(iterations=8, step=0.4))
-    assert result.metrics["r2_model"] > 0.5
-    assert result.metrics["n_folds"] == 5 and result.metrics["n_municipalities"] == 119
+    assert result.metrics["r2_model"] > 0.6 > 0.3 > result.metrics["r2_baseline"]
+    assert result.metrics["n_folds"] == 5 and result.metrics["n_municipalities"] == 209
     rows = result.predictions.collect()
-    assert len(rows) == 120 and all(r.relative_deficit_forecast >= 0 for r in rows)
-    unknown = next(r for r in rows if r.municipality_code == 5)
+    assert len(rows) == 210 and all(r.relative_deficit_forecast >= 0 for r in rows)
+    unknown = next(r for r in rows if r.municipality_code == 17)
     assert unknown.relative_deficit_cv is None and unknown.deficit_forecast_units is not None
     with pytest.raises(TooLittleData):
         forecast(data.where("state = 'S1'"))
