@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from bindings import checking
 from cartulary.functions.pseudonyms import Pseudonyms
 from cartulary.operators.policy import apply_policy, catalog
 from cartulary.plans import marts
@@ -273,3 +274,15 @@ def test_profiles(spark, tmp_path):
     assert publish(built, table) == {"inserted": 0, "updated": 0}
     changed = build_profiles(precarious, gap.withColumn("fjp_deficit", F.lit(31)), predictions, allocated, 5)
     assert publish(changed, table) == {"inserted": 0, "updated": 1}
+
+
+# -- whole jobs ---------------------------------------------------------------------------
+
+
+def test_publish_counts_quarantined_rows(spark, tmp_path):
+    line = "SELECT {0}L AS l_orderkey, 1L AS l_partkey, 1L AS l_suppkey, {1} AS l_linenumber, 3D AS l_quantity, 10.5D AS l_extendedprice, 0.1D AS l_discount, 0D AS l_tax, '{2}' AS l_returnflag, 'F' AS l_linestatus, TIMESTAMP '{3}-01-01 00:00:00' AS l_shipdate"
+    lines = [(1, 1, "A", 1999), (1, 1, "A", 1998), (2, 3, "N", 2020), (3, 4, "R", 1997)]
+    spark.sql(" UNION ALL ".join(line.format(*x) for x in lines)).write.parquet(f"{tmp_path}/lineitem.parquet")
+    spark.sql("SELECT 1L AS s_suppkey, 5D AS s_acctbal").write.parquet(f"{tmp_path}/supplier.parquet")
+    found = checking.silver_publish(spark, str(tmp_path)).collect()
+    assert sorted((r.flag, r.n_rows, r.n_valid, r.n_lines) for r in found) == [("A", 2, 1, 1), ("N", 1, 0, 0), ("R", 1, 1, 1)]
