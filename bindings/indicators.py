@@ -156,12 +156,12 @@ def area_indicators(spark, folder):
 # -- contracts ----------------------------------------------------------------------------
 
 
-#: A family is the greatest value of each of these over all lines of an order.
+#: For the review list a family is the greatest value of each of these over all lines of an order.
 LINE_COLUMNS = ("l_linenumber", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount", "l_tax", "l_returnflag", "l_linestatus", "l_shipdate")
 
 
 def contract_tables(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Events as contracts, orders as persons, all lines of an order as its family."""
+    """Events as contracts, orders as persons, every line of an order as a row of its family."""
     pseudonyms = Pseudonyms(spark, KEY)
     person = lambda name: pseudonyms.of(F.col(name).cast("string"), "cpf")
     contracts = table(spark, folder, "events").select(
@@ -179,10 +179,7 @@ def contract_tables(spark, folder) -> tuple[DataFrame, DataFrame, DataFrame]:
         F.col("o_orderkey").alias("person_id"),
         F.col("o_orderdate").cast("date").alias("_reference_date"),
     )
-    most = [F.max(c).alias(c) for c in LINE_COLUMNS]
-    one = table(spark, folder, "lineitem").groupBy("l_orderkey").agg(*most)
-    homes = households(one).withColumnRenamed("l_orderkey", "family_id")
-    return contracts, persons, homes
+    return contracts, persons, table(spark, folder, "lineitem")
 
 
 CONTRACTS_SQL = f"""
@@ -192,15 +189,29 @@ SELECT event_id, CASE WHEN event_type <> 'error' THEN {hmac_sql('CAST(user_id AS
        CAST(floor(value / 20) + 1 AS INTEGER) AS income_band
 FROM events
 """
-CROSSED_SQL = f"""
+_places = " ".join(f"WHEN '{c}' THEN {i}" for i, c in enumerate(COMPONENTS))
+_components = " ".join(f"WHEN {i} THEN '{c}'" for i, c in enumerate(COMPONENTS))
+#: The family of an order from all its lines, each classified.
+FAMILIES_SQL = f"""
+  SELECT l_orderkey AS family_id, max(total_income) AS cadunico_income,
+         CASE min(CASE deficit_component {_places} END) {_components} END AS deficit_component
+  FROM ({CLASSIFIED_SQL}) GROUP BY l_orderkey
+"""
+#: The family of an order as one row of greatest values.
+GREATEST_SQL = f"""
+  SELECT l_orderkey AS family_id, total_income AS cadunico_income, deficit_component
+  FROM (SELECT * FROM ({CLASSIFIED_SQL.replace('FROM lineitem', f"FROM (SELECT l_orderkey, {', '.join(f'max({c}) AS {c}' for c in LINE_COLUMNS)} FROM lineitem GROUP BY l_orderkey) AS lineitem")}))
+"""
+
+
+def crossed_sql(homes: str) -> str:
+    return f"""
 WITH contracts AS ({CONTRACTS_SQL}),
 persons AS (
   SELECT {hmac_sql('CAST(o_custkey AS VARCHAR)', 'cpf')} AS cpf_pseudo, o_orderkey AS family_id
   FROM (SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY CAST(o_orderdate AS DATE) DESC, o_orderkey DESC) AS n
         FROM orders) WHERE n = 1),
-homes AS (
-  SELECT l_orderkey AS family_id, total_income AS cadunico_income, deficit_component
-  FROM (SELECT * FROM ({CLASSIFIED_SQL.replace('FROM lineitem', f"FROM (SELECT l_orderkey, {', '.join(f'max({c}) AS {c}' for c in LINE_COLUMNS)} FROM lineitem GROUP BY l_orderkey) AS lineitem")}))),
+homes AS ({homes}),
 held AS (SELECT cpf_pseudo, count(*) AS contracts_per_cpf, count(DISTINCT program) AS programs_per_cpf
          FROM contracts WHERE cpf_pseudo IS NOT NULL GROUP BY cpf_pseudo),
 ceilings AS (SELECT * FROM (VALUES (1, 2850), (2, 4700), (3, 8600), (4, 12000)) c(income_band, ceiling))
@@ -217,8 +228,12 @@ FROM contracts c LEFT JOIN persons p ON p.cpf_pseudo = c.cpf_pseudo
 """
 
 
+CROSSED_SQL = crossed_sql(FAMILIES_SQL)
+
+
 def crossed(spark, folder) -> DataFrame:
-    return marts.crosswalk(*contract_tables(spark, folder), BANDS)
+    contracts, persons, lines = contract_tables(spark, folder)
+    return marts.crosswalk(contracts, persons, households(lines).withColumnRenamed("l_orderkey", "family_id"), BANDS)
 
 
 @query(CROSSED_SQL)
@@ -246,10 +261,14 @@ SELECT * FROM (
          concat_ws(',', CASE WHEN declared_income_above_band THEN 'declared_income_above_band' END,
                         CASE WHEN cadunico_income_above_band THEN 'cadunico_income_above_band' END,
                         CASE WHEN multiple_contracts THEN 'multiple_contracts' END) AS reasons
-  FROM ({CROSSED_SQL})) WHERE reasons <> ''
+  FROM ({crossed_sql(GREATEST_SQL)})) WHERE reasons <> ''
 """)
 def review_flags(spark, folder):
-    return marts.review_flags(crossed(spark, folder)).withColumn("reasons", F.array_join("reasons", ","))
+    contracts, persons, lines = contract_tables(spark, folder)
+    greatest = lines.groupBy("l_orderkey").agg(*[F.max(c).alias(c) for c in LINE_COLUMNS])
+    families = households(greatest).withColumnRenamed("l_orderkey", "family_id")
+    found = marts.review_flags(marts.crosswalk(contracts, persons, families, BANDS))
+    return found.withColumn("reasons", F.array_join("reasons", ","))
 
 
 # -- service gap --------------------------------------------------------------------------

@@ -279,6 +279,21 @@ def test_profiles(spark, tmp_path):
 # -- whole jobs ---------------------------------------------------------------------------
 
 
+def two_row_family(spark):
+    contracts = spark.sql("SELECT 'p' AS cpf_pseudo, 'FAR' AS program, 1 AS municipality_code, 100L AS declared_income, 1 AS income_band")
+    persons = spark.sql("SELECT 'p' AS cpf_pseudo, 7L AS family_id, 1L AS person_id, DATE '2026-01-01' AS _reference_date")
+    home = "0 AS {}"
+    zeros = ", ".join(home.format(c) for c in ("wall_material", "expense_rent", "people_in_dwelling", "bedrooms", "piped_water", "has_bathroom", "sewage_disposal", "garbage_disposal", "lighting", "floor_material"))
+    rows = [(1, 1, 9000), (1, 2, 10), (2, 1, 20), (1, 1, "NULL")]
+    families = spark.sql(" UNION ALL ".join(f"SELECT 7L AS family_id, {d} AS dwelling_kind, {n} AS families_in_dwelling, {i} AS total_income, {zeros}" for d, n, i in rows))
+    return contracts, persons, families, {1: 2850}
+
+
+def test_crosswalk_takes_all_rows_of_a_family(spark):
+    row = marts.crosswalk(*two_row_family(spark)).collect()
+    assert [(r.cadunico_income, r.deficit_component, r.cadunico_income_above_band) for r in row] == [(9000, "precarious_housing", True)]
+
+
 def test_publish_counts_quarantined_rows(spark, tmp_path):
     line = "SELECT {0}L AS l_orderkey, 1L AS l_partkey, 1L AS l_suppkey, {1} AS l_linenumber, 3D AS l_quantity, 10.5D AS l_extendedprice, 0.1D AS l_discount, 0D AS l_tax, '{2}' AS l_returnflag, 'F' AS l_linestatus, TIMESTAMP '{3}-01-01 00:00:00' AS l_shipdate"
     lines = [(1, 1, "A", 1999), (1, 1, "A", 1998), (2, 3, "N", 2020), (3, 4, "R", 1997)]
