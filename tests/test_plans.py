@@ -294,6 +294,11 @@ def test_crosswalk_takes_all_rows_of_a_family(spark):
     assert [(r.cadunico_income, r.deficit_component, r.cadunico_income_above_band) for r in row] == [(9000, "precarious_housing", True)]
 
 
+def test_targeting_counts_a_contract_once(spark):
+    row = marts.targeting(marts.crosswalk(*two_row_family(spark))).first()
+    assert (row.n_contracts, row.n_family_in_deficit, row.n_cadunico_income_above_band) == (1, 1, 1)
+
+
 def test_publish_counts_quarantined_rows(spark, tmp_path):
     line = "SELECT {0}L AS l_orderkey, 1L AS l_partkey, 1L AS l_suppkey, {1} AS l_linenumber, 3D AS l_quantity, 10.5D AS l_extendedprice, 0.1D AS l_discount, 0D AS l_tax, '{2}' AS l_returnflag, 'F' AS l_linestatus, TIMESTAMP '{3}-01-01 00:00:00' AS l_shipdate"
     lines = [(1, 1, "A", 1999), (1, 1, "A", 1998), (2, 3, "N", 2020), (3, 4, "R", 1997)]
