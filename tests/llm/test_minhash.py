@@ -1,5 +1,10 @@
 """Candidate pairs of near-duplicates."""
 
+from collections import Counter
+
+import numpy as np
+from pyspark.sql import functions as F
+
 from cartulary.llm import minhash
 
 
@@ -11,3 +16,33 @@ def test_samples_rule_no_pair_out(spark):
     df = spark.createDataFrame(rows, fields)
     assert [tuple(r) for r in minhash._across(df, df, minhash.SIMILARITY).collect()] == [(1, 2)]
     assert minhash._sampled(df.selectExpr("unhex(hex(node)) node", "'a b c d e f' text"), minhash.Weights([], 2)).columns == ["node", "bands"]
+
+
+def test_every_shingle_is_counted(spark):
+    """Documents of rare and common shingles alike, copies included; none are weighed as others of another count."""
+    texts = [f"one two three four five six s{i}" for i in range(300)] + [f"only in this one text {i} times" for i in (7, 7, 8)] + [None, "", "a b"]
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    keyed = docs.select(minhash.text_key(F.col("text")).alias("node"), "text")
+    want = Counter(h for t in texts for h in minhash.shingles(t)[0].tolist())
+    found = keyed.dropDuplicates(["node"]).join(minhash.drawn_samples(keyed, len(texts)), "node").collect()
+    got = {r.text: np.frombuffer(r.df, np.uint32).tolist() for r in found}
+    assert got == {t: [want[h] for h in minhash.shingles(t)[0].tolist()] for t in set(texts) if t}
+    assert sorted(set(want.values())) == [1, 2, 3, 300]
+    assert sorted(minhash.frequent_shingles(docs, len(texts))) == sorted((int(np.uint64(h).astype(np.int64)), n) for h, n in want.items())
+
+
+def test_rare_shingles_weigh_by_their_count(spark):
+    """Two texts that share what a fiftieth of all has are less alike than by equal weights."""
+    shared = "common words that many of these texts have at their very end here"
+    pair = [f"x{i} y z " + " ".join(f"own{j}" for j in range(13)) + " " + shared for i in range(2)]
+    near = [f"first{i} second{i} third{i} fourth{i} fifth{i} {shared}" for i in range(20)]
+    other = [" ".join(f"w{i}x{j}" for j in range(8)) for i in range(980)]
+    docs = spark.createDataFrame(list(enumerate(pair + near + other)), "doc_id long, text string")
+    own = [minhash.shingles(t) for t in pair]
+    equal, counted = [(h, n.astype(float)) for h, n in own], []
+    df = Counter(h for t in pair + near + other for h in minhash.shingles(t)[0].tolist())
+    for h, n in own:
+        counted.append((h, minhash.weighed(n, np.array([df[x] for x in h.tolist()]), 1002)))
+    least = (minhash.similarity(*equal) + minhash.similarity(*counted)) / 2
+    assert minhash.similarity(*equal) > least > minhash.similarity(*counted)
+    assert minhash.near_duplicates(docs.where("doc_id < 1002"), least).where("doc_id < 2 and class_id <> doc_id").count() == 0
