@@ -28,3 +28,15 @@ def test_stages_take_edges(spark, folder, edge_docs):
     assert sum(r.start == 0 for r in found["packing"]) == own.count()
     for name, function in corpus_pipeline.STAGES:
         assert function(spark, own.limit(0), folder).count() == 0, name
+
+
+def test_near_copies_by_counted_shingles(spark, folder):
+    """Two texts that differ in what no other has, and share what a fiftieth of all has, both stay: by equal weights they are near copies."""
+    shared = "common words that many of these texts have at their very end right here"
+    words = shared.split()
+    near = [" ".join(f"a{i}b{j}" for j in range(30)) + " " + shared for i in range(20)]
+    other = [" ".join(f"w{i}x{j}" for j in range(8)) for i in range(978)]
+    texts = [f"first {shared}", f"second {shared}", *near, *other]
+    assert len(words) - 4 >= 0.8 * (len(words) - 4 + 2)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in corpus_pipeline.drop_near_copies(spark, docs, folder).select("doc_id").collect()} == set(range(1000))
