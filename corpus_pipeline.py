@@ -32,7 +32,7 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, folder: str) -> Da
 def drop_near_copies(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
     """One document of each class stays, that of the smallest doc_id. Null and empty texts are classes of their own kind; of rows
     that tie in id and text one stays."""
-    return minhash.one_of_each(docs)
+    return minhash.one_of_each(docs, by_family=True)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, folder: str) -> DataFrame:
