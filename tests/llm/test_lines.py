@@ -1,12 +1,13 @@
 """Line dedup against edit similarity alone."""
 
 import random
+from itertools import combinations
 
 import numpy as np
 import pytest
 
 from cartulary.llm import lines
-from tests.llm.test_copies import levenshtein, prose
+from tests.llm.test_copies import components, levenshtein, prose
 
 
 @pytest.mark.parametrize("n", [10, 20, 40])
@@ -71,3 +72,23 @@ def test_band_keys_are_shared_by_slices(spark):
     for r in lines._shared(unique)[0].collect():
         got.setdefault(r.bucket, set()).add(r.node)
     assert sorted(map(sorted, got.values())) == sorted(sorted(x) for x in by.values() if len(x) > 1)
+
+
+def test_short_lines_meet_their_near_copies(spark):
+    """Lines of four to nine characters within one edit of each other, whatever their words and script, against all pairs."""
+    rng, texts = random.Random(13), []
+    for n in [4, 5, 5, 6, 7, 8, 8, 9] * 6:
+        own = "".join(rng.choices("abcdefghijklmnopqrstuvwxyz\u65e5\u672c\u8a9e\u00e9", k=n))
+        if n > 6:
+            own = own[:3] + " " + own[4:]
+        at = rng.randrange(n)
+        new = rng.choice("vwxyz\u00fc")
+        texts += [own, rng.choice([own[:at] + new + own[at + 1 :], own[:at] + new + own[at:]])]
+    places = [" ".join(t.split()) for t in texts]
+    near = lambda a, b: a == b or max(map(len, (a, b))) <= 9 and levenshtein(a, b) <= max(map(len, (a, b))) // 5
+    pairs = [(i, j) for i, j in combinations(range(len(places)), 2) if near(places[i], places[j])]
+    links = components(pairs)
+    docs = spark.createDataFrame([(i, f"{t}! -- \n{i * 'z'} {'q' * i}") for i, t in enumerate(texts)], "doc_id long, text string").repartition(3)
+    got = {r.doc_id for r in lines.dedup_lines(docs).collect() if 0 in r.removed_lines}
+    assert got >= {x for x, top in links.items() if x != top} and len(pairs) > 30
+    assert lines.shortest(0.8) == 4 and len(lines.short_keys("a\u00e9b".encode())) == 4
